@@ -134,7 +134,7 @@ SELECT CAST(sum(payment_type) AS BIGINT) AS payment_type,
 ) + " FROM wide"
 
 SQL["two_period_union"] = f"""{TRIPS}
-SELECT CASE WHEN year(tpep_pickup_datetime) < 1995 THEN 'early' ELSE 'late' END AS period,
+SELECT CASE WHEN year(tpep_pickup_datetime) < 1998 THEN 'early' ELSE 'late' END AS period,
   count(*) AS trips, min(tpep_pickup_datetime) AS first_pickup, max(tpep_pickup_datetime) AS last_pickup,
   round(avg(total_amount), 6) AS mean_total
 FROM trips GROUP BY 1"""

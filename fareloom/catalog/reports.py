@@ -106,7 +106,7 @@ def narrow_types(spark, d):
 @query("two_period_union")
 def two_period_union(spark, d):
     t = trips(spark, d)
-    early = F.year(S.PICKUP) < 1995
+    early = F.year(S.PICKUP) < 1998
     both = IO.union_periods({"early": t.where(early), "late": t.where(~early)})
     return rounded(
         both.groupBy("period").agg(
