@@ -17,6 +17,7 @@ from fareloom.operators import stats as A
 from fareloom.plans import models as M
 from fareloom.plans import scoring as C
 from fareloom.plans.encoder import TripEncoder, slot_table
+from fareloom.session import settle
 from fareloom.sources import requests as J
 from fareloom.sources.tables import trips
 
@@ -29,6 +30,13 @@ def new_columns(before, after):
     return after.select(KEY, *[c for c in after.columns if c not in old])
 
 
+def model_rows(spark, d):
+    """The feature set of the model with a test mark, written once for the passes of training."""
+    t = X.features_v1(trips(spark, d, heavy=True))
+    used = [KEY, S.TARGET, *S.MODEL_NUMERIC, *S.MODEL_CATEGORICAL]
+    return settle(R.train_test_split(t.select(*used), KEY), "model-rows")
+
+
 # -- features -------------------------------------------------------------------------
 
 
@@ -160,7 +168,7 @@ def onehot_drop_first(spark, d):
 @query("assemble_features")
 def assemble_features(spark, d):
     """Rows and total of every slot of the assembled vector, encoder fitted on the training rows."""
-    t = R.train_test_split(X.features_v1(trips(spark, d)), KEY)
+    t = model_rows(spark, d)
     encoding = TripEncoder().fit(t.where("not is_test"))
     return rounded(slot_table(encoding.transform(t)).drop("slot"), 4)
 
@@ -168,7 +176,9 @@ def assemble_features(spark, d):
 @query("prepare_training")
 def prepare_training(spark, d):
     """Rows and total of every slot of the prepared training and test vectors."""
-    ready = M.prepare_training(X.features_analysis(trips(spark, d)), KEY)
+    used = [KEY, S.TARGET, *S.ANALYSIS_MODEL_NUMERIC, *S.MODEL_CATEGORICAL]
+    rows = settle(X.features_analysis(trips(spark, d, heavy=True)).select(*used), "analysis-rows")
+    ready = M.prepare_training(rows, KEY)
     parts = [
         slot_table(part).drop("slot").withColumn("part", F.lit(name))
         for name, part in (("train", ready.train), ("test", ready.test))
@@ -273,9 +283,9 @@ def resolve_version(spark, d):
 # -- requests -------------------------------------------------------------------------
 
 
-def planted_requests(spark, d):
+def planted_requests(spark, d, heavy=False):
     """Requests from trips, with broken values planted by zone."""
-    r = J.requests_from_trips(trips(spark, d), ids=(KEY, "PULocationID", "DOLocationID"))
+    r = J.requests_from_trips(trips(spark, d, heavy), ids=(KEY, "PULocationID", "DOLocationID"))
     pu, do = F.col("PULocationID"), F.col("DOLocationID")
     dropoff = F.col("dropoff_datetime")
     return r.withColumns(

@@ -172,13 +172,13 @@ SQL["prepare_training"] = f"""{ANALYSIS}
     f"CAST(CASE WHEN {c} < {c}_l THEN {c}_l WHEN {c} > {c}_h THEN {c}_h ELSE {c} END AS DOUBLE) AS {c}" for c in PREPARED
 )}), {", ".join(f"CAST({c} IS NULL AS INT) AS {c}_gap" for c in PREPARED)} FROM ready, caps)
 , med AS (SELECT {", ".join(f"median({c}) AS {c}_m" for c in PREPARED)} FROM capped WHERE NOT is_test)
-, filled AS (SELECT capped.* REPLACE ({", ".join(f"coalesce({c}, {c}_m) AS {c}" for c in PREPARED)}) FROM capped, med)
+, gapless AS (SELECT capped.* REPLACE ({", ".join(f"coalesce({c}, {c}_m) AS {c}" for c in PREPARED)}) FROM capped, med)
 , fit AS (SELECT {", ".join(
     f"median({c}) AS {c}_q2, quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) AS {c}_r" for c in PREPARED
-)} FROM filled WHERE NOT is_test)
-, x AS (SELECT filled.*, CASE WHEN is_test THEN 'test' ELSE 'train' END AS part, {", ".join(
+)} FROM gapless WHERE NOT is_test)
+, x AS (SELECT gapless.*, CASE WHEN is_test THEN 'test' ELSE 'train' END AS part, {", ".join(
     f"({c} - {c}_q2) / (CASE WHEN {c}_r = 0 THEN 1 ELSE {c}_r END) AS x_{c}" for c in PREPARED
-)} FROM filled, fit)
+)} FROM gapless, fit)
 """ + union(
     [
         f"""SELECT part, 'scaled_{c}' AS feature, count(*) FILTER (WHERE x_{c} <> 0) AS rows,

@@ -11,8 +11,8 @@ from fareloom.operators import profile as P
 from fareloom.operators import quality as Q
 from fareloom.operators import sampling as R
 from fareloom.operators import stats as A
-from fareloom.operators.encode import freq_encode, mode_fill, settle
-from fareloom.session import scratch_path
+from fareloom.operators.encode import freq_encode, mode_fill
+from fareloom.session import scratch_path, settle
 from fareloom.sources import requests as J
 from fareloom.sources import trips as IO
 from fareloom.sources.tables import trips
@@ -34,8 +34,7 @@ def analysis_table(spark, d):
     The feature columns are written once: the reports over them pass over the table more
     than once and should not join and derive it again each time.
     """
-    base = trips(spark, d)
-    t = X.features_analysis(mode_fill(base))
+    t = X.features_analysis(mode_fill(trips(spark, d, heavy=True)))
     return settle(freq_encode(t), "analysis")
 
 

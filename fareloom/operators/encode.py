@@ -16,22 +16,11 @@ from pyspark.sql import functions as F
 from fareloom.functions.exprs import clip
 from fareloom.operators.profile import n_rows
 from fareloom.operators.quantiles import fit_modes, fit_quantiles
-from fareloom.session import scratch_path
+from fareloom.session import settle
 
 MAX_CATEGORIES = 10_000
 
 
-def settle(df: DataFrame, name: str) -> DataFrame:
-    """Write a fitted table to the shared folder and read it back.
-
-    That cuts the lineage, survives lost executors, and gives the optimizer the table's
-    real size, so a later join broadcasts it only if it is small enough.
-    """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 # -- frequency of a key ---------------------------------------------------------------
 
 

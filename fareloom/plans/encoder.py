@@ -74,13 +74,13 @@ class TripEncoder(Estimator):
         inputs = list(numbers)
         if labels:
             index, slots = [f"index_{c}" for c in labels], [f"is_{c}" for c in labels]
-            indexer = StringIndexerModel.from_arrays_of_labels(
-                list(labels.values()), inputCols=list(texts), outputCols=index, handleInvalid="keep"
-            )
+            stages += [
+                StringIndexerModel.from_labels(known, f"text_{c}", f"index_{c}", "keep")
+                for c, known in labels.items()
+            ]
             # The number of slots is read from the column's metadata: no pass over the data.
-            sized = indexer.transform(stages[0].transform(dataset))
-            one_hot = OneHotEncoder(inputCols=index, outputCols=slots, dropLast=True).fit(sized)
-            stages += [indexer, one_hot]
+            sized = PipelineModel(stages).transform(dataset)
+            stages.append(OneHotEncoder(inputCols=index, outputCols=slots, dropLast=True).fit(sized))
             inputs += slots
         stages.append(VectorAssembler(inputCols=inputs, outputCol=self.output))
         return PipelineModel(stages)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -19,6 +19,9 @@ def local_session(cores: int | str = "*", app: str = "fareloom", memory: str = "
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # Wide feature projections make methods the JVM refuses to compile; below this size
+        # Spark falls back to split projections, which it does compile.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -42,3 +45,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for a written intermediate table, visible to every executor."""
     shared = spark.conf.get(CHECKPOINT_CONF, None) or ensure_checkpoint_dir(spark)
     return f"{shared.rstrip('/')}/fareloom-{name}-{uuid.uuid4().hex}"
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Deal out a scan that has fewer splits than there are cores, before heavy work per row.
+
+    A few small files would leave most cores idle; a large table has more splits than
+    cores and is left alone.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
+def settle(df: DataFrame, name: str) -> DataFrame:
+    """Write a table to the shared folder and read it back.
+
+    That cuts the lineage, survives lost executors, and gives the optimizer the table's
+    real size, so a later join broadcasts it only if it is small enough.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

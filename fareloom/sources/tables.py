@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from fareloom.session import spread
+
 TRIP_VIEW = """
 SELECT
   trip_id, VendorID,
@@ -60,8 +62,13 @@ FROM (
 """
 
 
-def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The trip view over the order tables in ``sf_dir``; a lazy plan, nothing is read yet."""
+def trips(spark: SparkSession, sf_dir: str, heavy: bool = False) -> DataFrame:
+    """The trip view over the order tables in ``sf_dir``; a lazy plan, nothing is read yet.
+
+    ``heavy`` announces costly work per row, for which a small scan is dealt out first.
+    """
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    if heavy:
+        lines = spread(lines)
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     return spark.sql(TRIP_VIEW, lineitem=lines, orders=orders)
