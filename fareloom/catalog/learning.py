@@ -40,7 +40,12 @@ def trained(spark, d, name, estimator):
 
 
 def fitted_model(spark, d) -> PipelineModel:
-    """Boosted trees trained on the training rows, saved and loaded as a scorer would."""
+    (one,) = trained(spark, d, "boosted_trees", small_gbt())
+    return one.model
+
+
+def stored_model(spark, d) -> PipelineModel:
+    """The same, published and loaded again as a separate scoring job would."""
     (one,) = trained(spark, d, "boosted_trees", small_gbt())
     path = scratch_path(spark, "model")
     M.publish(one, path, threshold=0.0)
@@ -118,7 +123,7 @@ def feature_importance(spark, d):
 @query("score_batch")
 def score_batch(spark, d):
     """The table written by the batch scorer: every input column and the prediction."""
-    model = fitted_model(spark, d)
+    model = stored_model(spark, d)
     path = scratch_path(spark, "scored")
     C.write_scored(trips(spark, d, heavy=True).drop(S.TARGET), model, path)
     return spark.read.parquet(path)

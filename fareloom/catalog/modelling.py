@@ -269,9 +269,12 @@ def resolve_version(spark, d):
     by_year = t.groupBy(year.alias("year")).agg(slope.alias("slope"), r2.alias("r2"), P.n_rows().alias("trips"))
     number = F.col("year") - by_year.agg(F.min("year")).scalar() + 1
     stage = F.when(number % 3 == 0, "Production").when(number % 3 == 1, "Staging").otherwise("Archived")
-    versions = by_year.select(
-        F.lit("fare_line").alias("model"), number.cast("string").alias("version"), stage.alias("stage"),
-        "year", "trips", "slope", "r2",
+    versions = settle(
+        by_year.select(
+            F.lit("fare_line").alias("model"), number.cast("string").alias("version"), stage.alias("stage"),
+            "year", "trips", "slope", "r2",
+        ),
+        "versions",
     )
     out = None
     for wanted in ("latest", "production", "staging", "2"):

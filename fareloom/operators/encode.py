@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from fareloom.functions.exprs import clip
 from fareloom.operators.profile import n_rows
-from fareloom.operators.quantiles import fit_modes, fit_quantiles
+from fareloom.operators.quantiles import fit_modes, fit_quantiles, melt
 from fareloom.session import settle
 
 MAX_CATEGORIES = 10_000
@@ -64,23 +64,31 @@ class Standard:
         return (x - F.lit(self.mean[c])) / F.lit(self.sd[c] or 1.0)
 
 
+def _moments(t: DataFrame, cols: Sequence[str]) -> dict[str, tuple]:
+    """Rows, present values, mean and population deviation of each column, from one scan."""
+    rows = (
+        melt(t, cols)
+        .groupBy("column")
+        .agg(n_rows(), F.count("value"), F.avg("value"), F.stddev_pop("value"))
+        .collect()
+    )
+    return {r[0]: tuple(r)[1:] for r in rows}
+
+
 def fit_standard(train: DataFrame, cols: Sequence[str], exact: bool = True) -> Standard:
-    """One pass for the medians of columns that have gaps, one for means and deviations."""
-    gaps = train.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).first()
-    open_cols = [c for c in cols if gaps[c]]
+    """One scan when nothing is missing; columns with gaps are filled and measured again."""
+    found = _moments(train, cols)
+    gaps = [c for c, (rows, present, *_) in found.items() if present < rows]
     median = dict.fromkeys(cols, 0.0)
-    if open_cols:
-        found = fit_quantiles(train, open_cols, (0.5,), exact)
-        median.update({c: found[c][0] or 0.0 for c in open_cols})
-    filled = {c: F.coalesce(F.col(c).cast("double"), F.lit(median[c])) for c in cols}
-    row = train.agg(
-        *[F.avg(x).alias(f"m{i}") for i, x in enumerate(filled.values())],
-        *[F.stddev_pop(x).alias(f"s{i}") for i, x in enumerate(filled.values())],
-    ).first()
+    if gaps:
+        medians = fit_quantiles(train, gaps, (0.5,), exact)
+        median.update({c: medians[c][0] or 0.0 for c in gaps})
+        filled = [F.coalesce(F.col(c).cast("double"), F.lit(median[c])).alias(c) for c in gaps]
+        found.update(_moments(train.select(*filled), gaps))
     return Standard(
         median,
-        {c: row[f"m{i}"] or 0.0 for i, c in enumerate(cols)},
-        {c: row[f"s{i}"] or 0.0 for i, c in enumerate(cols)},
+        {c: found[c][2] or 0.0 if c in found else 0.0 for c in cols},
+        {c: found[c][3] or 0.0 if c in found else 0.0 for c in cols},
     )
 
 
@@ -175,11 +183,7 @@ def fit_categories(
     with more than ``max_categories`` values is refused rather than cut short: encode
     such keys by frequency instead.
     """
-    counts = None
-    for c in cols:
-        part = train.groupBy(F.col(c).cast("string").alias("value")).agg(n_rows().alias("n"))
-        part = part.select(F.lit(c).alias("column"), "value", "n")
-        counts = part if counts is None else counts.unionByName(part)
+    counts = melt(train, cols, kind="string").groupBy("column", "value").agg(n_rows().alias("n"))
     bound = max_categories * len(cols)
     rows = counts.limit(bound + len(cols) + 1).collect()
     known: dict[str, list[str]] = {}
