@@ -33,12 +33,13 @@ def missing_profile(
         t,
         cols,
         lambda c: {
-            "type": F.first(F.lit(types[c])),
             "present": F.count(c),
             "missing": F.count_if(F.col(c).isNull()),
             "missing_pct": percent(F.count_if(F.col(c).isNull()), n_rows()),
         },
     )
+    kind = F.create_map(*[F.lit(x) for c in cols for x in (c, types[c])])
+    out = out.select("column", kind[F.col("column")].alias("type"), "present", "missing", "missing_pct")
     if only_gaps:
         out = out.where(F.col("missing") > 0)
     return out.orderBy(F.desc("missing"), "column")

@@ -64,7 +64,8 @@ def test_only_aggregated_rows_meet_in_one_partition(stored):
                 assert "HashAggregate" in lines[i + 1] or "HashAggregate" in lines[i + 2], name
 
 
-def test_reports_read_only_their_columns(stored):
+def test_reports_read_only_their_columns(spark, stored):
+    spark.conf.set("spark.sql.maxMetadataStringLength", 5000)
     text = plan(P.hourly_means(stored))
     wanted = {S.PICKUP, S.DROPOFF, "trip_distance", "fare_amount", "total_amount"}
     read = text.split("ReadSchema: struct<")[1].split(">")[0]
