@@ -125,19 +125,19 @@ def score_batch(spark, d):
     """The table written by the batch scorer: every input column and the prediction."""
     model = stored_model(spark, d)
     path = scratch_path(spark, "scored")
-    C.write_scored(trips(spark, d, heavy=True).drop(S.TARGET), model, path)
+    C.write_scored(trips(spark, d).drop(S.TARGET), model, path)
     return spark.read.parquet(path)
 
 
 @query("pred_vs_actual")
 def pred_vs_actual(spark, d):
     model = fitted_model(spark, d)
-    return C.pred_vs_actual(C.score_batch(trips(spark, d, heavy=True), model), (KEY,))
+    return C.pred_vs_actual(C.score_batch(trips(spark, d), model), (KEY,))
 
 
 @query("score_requests")
 def score_requests(spark, d):
-    good = accepted(validate_requests(planted_requests(spark, d, heavy=True)))
+    good = accepted(validate_requests(planted_requests(spark, d)))
     scored = C.score_requests(good, fitted_model(spark, d), "1", (KEY,))
     return scored.drop("prediction_timestamp")
 
@@ -159,7 +159,7 @@ def run_metrics(spark, d):
 def stream_score(spark, d):
     """Requests worked off by the stream, read back from its sinks with the reject count."""
     source, out, mark = (scratch_path(spark, n) for n in ("stream-in", "stream-out", "stream-mark"))
-    J.write_requests(planted_requests(spark, d, heavy=True), source)
+    J.write_requests(planted_requests(spark, d), source)
     run = stream_scores(
         spark, source, out, fitted_model(spark, d), "1", mark, (T.StructField(KEY, T.StringType()),), once=True
     )

@@ -32,7 +32,7 @@ def new_columns(before, after):
 
 def model_rows(spark, d):
     """The feature set of the model with a test mark, written once for the passes of training."""
-    t = X.features_v1(trips(spark, d, heavy=True))
+    t = X.features_v1(trips(spark, d))
     used = [KEY, S.TARGET, *S.MODEL_NUMERIC, *S.MODEL_CATEGORICAL]
     return settle(R.train_test_split(t.select(*used), KEY), "model-rows")
 
@@ -177,7 +177,7 @@ def assemble_features(spark, d):
 def prepare_training(spark, d):
     """Rows and total of every slot of the prepared training and test vectors."""
     used = [KEY, S.TARGET, *S.ANALYSIS_MODEL_NUMERIC, *S.MODEL_CATEGORICAL]
-    rows = settle(X.features_analysis(trips(spark, d, heavy=True)).select(*used), "analysis-rows")
+    rows = settle(X.features_analysis(trips(spark, d)).select(*used), "analysis-rows")
     ready = M.prepare_training(rows, KEY)
     parts = [
         slot_table(part).drop("slot").withColumn("part", F.lit(name))
@@ -286,9 +286,9 @@ def resolve_version(spark, d):
 # -- requests -------------------------------------------------------------------------
 
 
-def planted_requests(spark, d, heavy=False):
+def planted_requests(spark, d):
     """Requests from trips, with broken values planted by zone."""
-    r = J.requests_from_trips(trips(spark, d, heavy), ids=(KEY, "PULocationID", "DOLocationID"))
+    r = J.requests_from_trips(trips(spark, d), ids=(KEY, "PULocationID", "DOLocationID"))
     pu, do = F.col("PULocationID"), F.col("DOLocationID")
     dropoff = F.col("dropoff_datetime")
     return r.withColumns(

@@ -34,7 +34,7 @@ def analysis_table(spark, d):
     The feature columns are written once: the reports over them pass over the table more
     than once and should not join and derive it again each time.
     """
-    t = X.features_analysis(mode_fill(trips(spark, d, heavy=True)))
+    t = X.features_analysis(mode_fill(trips(spark, d)))
     return settle(freq_encode(t), "analysis")
 
 

@@ -18,10 +18,13 @@ from fareloom.operators.profile import n_rows
 
 
 def safe_corr(x: Column, y: Column) -> Column:
-    """Correlation over rows where both are present; null when either does not vary."""
-    both = x.isNotNull() & y.isNotNull()
-    a, b = F.when(both, x), F.when(both, y)
-    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
+    """Correlation over rows where both are present; null when either does not vary.
+
+    Spark's own ``corr`` divides by zero there. ``regr_r2`` is null for a constant ``x``
+    and 1, at zero covariance, for a constant ``y``.
+    """
+    r2, cov = F.regr_r2(y, x), F.covar_pop(x, y)
+    return F.when(~((cov == 0) & (r2 == 1)), F.signum(cov) * F.sqrt(r2))
 
 
 def corr_matrix(t: DataFrame, cols: Sequence[str] = tuple(S.CORRELATION_COLUMNS)) -> DataFrame:
@@ -209,16 +212,10 @@ class Line:
         return F.lit(self.intercept) + F.lit(self.slope) * F.col(self.feature)
 
 
-def _line(x: str, y: str, where: Column | None = None) -> tuple[Column, Column]:
-    a, b = F.col(y), F.col(x)
-    if where is not None:
-        a, b = F.when(where, a), F.when(where, b)
-    return F.regr_slope(a, b), F.regr_intercept(a, b)
-
-
 def fit_line(train: DataFrame, feature: str = "fare_amount", target: str = S.TARGET) -> Line:
-    slope, intercept = _line(feature, target)
-    row = train.agg(slope.alias("s"), intercept.alias("i")).first()
+    row = train.agg(
+        F.regr_slope(target, feature).alias("s"), F.regr_intercept(target, feature).alias("i")
+    ).first()
     return Line(feature, target, row["s"] or 0.0, row["i"] or 0.0)
 
 
@@ -229,13 +226,37 @@ def apply_line(t: DataFrame, line: Line, name: str = S.PREDICTED) -> DataFrame:
 def fit_fold_lines(
     t: DataFrame, fold: str, k: int, feature: str = "fare_amount", target: str = S.TARGET
 ) -> list[Line]:
-    """One line per fold, fitted on the rows outside it, all in one aggregation."""
-    aggs = []
-    for f in range(k):
-        slope, intercept = _line(feature, target, F.col(fold) != f)
-        aggs += [slope.alias(f"s{f}"), intercept.alias(f"i{f}")]
-    row = t.agg(*aggs).first()
-    return [Line(feature, target, row[f"s{f}"] or 0.0, row[f"i{f}"] or 0.0) for f in range(k)]
+    """One line per fold, fitted on the rows outside it.
+
+    One pass collects means and centred moments of each fold, ``k`` rows in all; those of
+    the other folds are then pooled.
+    """
+    x, y = F.col(feature).cast("double"), F.col(target).cast("double")
+    found = (
+        t.where(x.isNotNull() & y.isNotNull())
+        .groupBy(fold)
+        .agg(
+            n_rows().alias("n"),
+            F.avg(x).alias("mx"),
+            F.avg(y).alias("my"),
+            F.var_pop(x).alias("vx"),
+            F.covar_pop(x, y).alias("cxy"),
+        )
+        .collect()
+    )
+    return [_pooled([r for r in found if r[fold] != f], feature, target) for f in range(k)]
+
+
+def _pooled(parts: Sequence, feature: str, target: str) -> Line:
+    n = sum(r["n"] for r in parts)
+    if not n:
+        return Line(feature, target, 0.0, 0.0)
+    mx = sum(r["n"] * r["mx"] for r in parts) / n
+    my = sum(r["n"] * r["my"] for r in parts) / n
+    sxx = sum(r["n"] * (r["vx"] + (r["mx"] - mx) ** 2) for r in parts)
+    sxy = sum(r["n"] * (r["cxy"] + (r["mx"] - mx) * (r["my"] - my)) for r in parts)
+    slope = sxy / sxx if sxx else 0.0
+    return Line(feature, target, slope, my - slope * mx)
 
 
 def apply_fold_lines(t: DataFrame, lines: Sequence[Line], fold: str, name: str = S.PREDICTED) -> DataFrame:

@@ -6,7 +6,7 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from fareloom.session import local_session  # noqa: E402
-from fareloom.sources.tables import trips  # noqa: E402
+from fareloom.sources.tables import trip_view as trips  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
