@@ -68,9 +68,9 @@ def scan_csv(spark, d):
 def coerce_ts(spark, d):
     text = trips(spark, d).select(
         "trip_id",
-        F.date_format(S.PICKUP, J.TS_FORMAT).alias(S.PICKUP),
+        J.time_text(S.PICKUP).alias(S.PICKUP),
         F.when(F.col("payment_type") == 0, "not a time")
-        .otherwise(F.date_format(S.DROPOFF, J.TS_FORMAT))
+        .otherwise(J.time_text(S.DROPOFF))
         .alias(S.DROPOFF),
     )
     return IO.to_ts(text)

@@ -18,8 +18,13 @@ def col(c: str | Column) -> Column:
 
 
 def minutes_between(start: str | Column, end: str | Column) -> Column:
-    """Fractional minutes; on zone-less timestamps this is free of the session zone."""
-    return F.timestamp_diff("MICROSECOND", col(start), col(end)) / F.lit(6e7)
+    """Fractional minutes between two zone-less timestamps.
+
+    Their difference is a plain interval. ``timestamp_diff`` would go through the session
+    zone and be wrong for times that a clock change skips.
+    """
+    seconds = (col(end) - col(start)).cast("interval second").cast("decimal(18,6)")
+    return seconds.cast("double") / F.lit(60.0)
 
 
 def ratio(num: str | Column, den: str | Column) -> Column:

@@ -9,12 +9,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# One-digit parts are accepted, as by the usual strict date parsers.
-TIME_PATTERN = "yyyy-M-d H:m:s"
+# Fixed value: four-digit year, one or two digits elsewhere, one space, nothing more.
+TIME_PATTERN = r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$"
 
 
 def parsed_time(c: str) -> Column:
-    return F.try_to_timestamp(F.col(c), F.lit(TIME_PATTERN)).cast("timestamp_ntz")
+    """Zone-less time, or null where the text has another form or is no real date.
+
+    Parsing straight to a zone-less type keeps hours that a clock change skips.
+    """
+    text = F.col(c)
+    return F.when(text.rlike(TIME_PATTERN), text.try_cast("timestamp_ntz"))
 
 
 def request_rules() -> dict[str, Column]:

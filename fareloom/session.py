@@ -31,12 +31,15 @@ def local_session(cores: int | str = "*", app: str = "fareloom", memory: str = "
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, taking the cluster's own setting first.
 
-    Only a session that names none (a local test) gets a temporary folder.
+    Only a local session that names none gets a temporary folder: on a cluster that would
+    be a different folder on every machine.
     """
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     shared = spark.conf.get(CHECKPOINT_CONF, None)
+    if not shared and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that every executor can reach")
     spark.sparkContext.setCheckpointDir(shared or tempfile.mkdtemp(prefix="fareloom-ckpt-"))
     return spark.sparkContext.getCheckpointDir()
 

@@ -9,7 +9,6 @@ from pyspark.sql import types as T
 from fareloom import schema as S
 
 CORRUPT = "_corrupt_record"
-TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 # What a request that leaves a field out means.
 REQUEST_DEFAULTS = {
@@ -64,12 +63,17 @@ def with_request_defaults(r: DataFrame) -> DataFrame:
     return r.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in REQUEST_DEFAULTS.items()})
 
 
+def time_text(c: str) -> Column:
+    """``YYYY-MM-DD HH:MM:SS`` of a zone-less timestamp, whatever the session zone is."""
+    return F.substring(F.col(c).cast("string"), 1, 19)
+
+
 def requests_from_trips(t: DataFrame, ids: tuple[str, ...] = ("trip_id",)) -> DataFrame:
     """Project recorded trips to what a client would have sent."""
     return t.select(
         *ids,
-        F.date_format(S.PICKUP, TS_FORMAT).alias("pickup_datetime"),
-        F.date_format(S.DROPOFF, TS_FORMAT).alias("dropoff_datetime"),
+        time_text(S.PICKUP).alias("pickup_datetime"),
+        time_text(S.DROPOFF).alias("dropoff_datetime"),
         "trip_distance",
         F.coalesce(F.col("passenger_count"), F.lit(1)).cast("int").alias("passenger_count"),
         "VendorID",

@@ -52,6 +52,21 @@ def test_one_digit_parts_are_accepted(spark):
     assert broken(spark, pickup_datetime="2024-1-5 8:30:00") == []
 
 
+@pytest.mark.parametrize("text", ["2024-01-05 08:30", "2024-01-05 08:30:00Z", "24-01-05 08:30:00", "2024-01-05", " "])
+def test_other_time_forms_are_rejected(spark, text):
+    assert broken(spark, pickup_datetime=text) == ["pickup_datetime"]
+
+
+def test_request_times_ignore_a_clock_change(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        skipped = request(spark, pickup_datetime="2024-03-10 02:30:00", dropoff_datetime="2024-03-10 03:30:00")
+        assert C.request_features(skipped).first()["trip_duration_minutes"] == 60.0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_strict_rules(spark):
     assert broken(spark, True, passenger_count=0) == ["passenger_count"]
     assert broken(spark, True, trip_distance=100.5) == ["trip_distance"]
