@@ -62,8 +62,11 @@ def all_null(cols: Iterable[str]) -> Column:
 
 
 def hash_key(key: str | Column, seed: int | str) -> Column:
-    """32 hex digits that order rows the same way on every run and every engine."""
-    return F.md5(F.concat(F.lit(f"{seed}|"), col(key).cast("string")))
+    """32 hex digits that order rows the same way on every run and every engine.
+
+    A row without a key hashes like an empty one, so that no split loses it.
+    """
+    return F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(col(key).cast("string"), F.lit(""))))
 
 
 def hash_bucket(key: str | Column, seed: int | str, buckets: int) -> Column:

@@ -23,6 +23,8 @@ from math import ceil, floor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fareloom.functions.exprs import nan_to_null
+
 CELLS = 4096
 LOG_CELLS_PER_E = 64  # first-pass cells are about 1/64 wide, relative to the value
 LOG_UNIT = 1e-4
@@ -108,7 +110,7 @@ def _cell(v: Column, brackets: list[Bracket]) -> Column:
 def _count_cells(t: DataFrame, search: dict[str, list[Bracket]]) -> dict[str, list]:
     cells = []
     for i, (c, brackets) in enumerate(search.items()):
-        v = F.col(c).cast("double")
+        v = F.col(c)
         cell = _cell(v, brackets) if brackets else _log_cell(v)
         cells.append(F.struct(F.lit(i).alias("c"), cell.alias("cell"), v.alias("v")))
     rows = (
@@ -132,16 +134,16 @@ def fit_quantiles(
     exact: bool = True,
     small_rows: int = SMALL_ROWS,
 ) -> dict[str, list[float | None]]:
-    """Linearly interpolated quantiles of each column, nulls left out.
+    """Linearly interpolated quantiles of each column, nulls and NaN left out.
 
     ``exact=False`` returns the sketch values of one pass.
     """
     cols, probs = list(cols), [float(p) for p in probs]
-    t = t.select(*cols)
+    t = t.select(*[nan_to_null(F.col(c).cast("double")).alias(c) for c in cols])
     if not exact:
-        how = [F.percentile_approx(F.col(c).cast("double"), probs, SKETCH) for c in cols]
+        how = [F.percentile_approx(c, probs, SKETCH) for c in cols]
     elif small_rows and t.count() <= small_rows:
-        how = [F.percentile(F.col(c).cast("double"), probs) for c in cols]
+        how = [F.percentile(c, probs) for c in cols]
     else:
         return _search(t, cols, probs)
     row = t.agg(*how).first()

@@ -66,6 +66,12 @@ def test_empty_and_all_null(spark):
             assert Q.fit_quantiles(t, ["x"], (0.5,), small_rows=small) == {"x": [None]}
 
 
+def test_nan_is_left_out(spark):
+    t = spark.createDataFrame([(math.nan,), (1.0,), (3.0,), (None,)], "x double")
+    for small in (0, 1000):
+        assert Q.fit_quantiles(t, ["x"], (0.5, 1.0), small_rows=small) == {"x": [2.0, 3.0]}
+
+
 def test_sketch_is_close(sample):
     exact = Q.fit_quantiles(sample, ["fare_amount"], (0.5,))["fare_amount"][0]
     rough = Q.fit_quantiles(sample, ["fare_amount"], (0.5,), exact=False)["fare_amount"][0]

@@ -49,6 +49,14 @@ def test_splits_are_disjoint_and_stable(keyed):
     assert sum(three.values()) == 3000 and set(three) == {"train", "validation", "test"}
 
 
+def test_rows_without_a_key_are_kept(spark):
+    t = spark.createDataFrame([("a",), (None,), (None,)], "k string")
+    marked = R.train_test_split(t, "k")
+    assert marked.where("is_test").count() + marked.where("not is_test").count() == 3
+    assert R.sample_n(t, 3, "k").count() == 3
+    assert sorted(r["position"] for r in R.row_positions(t, "k", 1).collect()) == [1, 2, 3]
+
+
 def test_folds_cover_everything(keyed):
     sizes = dict(rows(R.kfold(keyed, "k").groupBy("fold").count()))
     assert sorted(sizes) == [0, 1, 2, 3, 4] and sum(sizes.values()) == 3000
