@@ -312,6 +312,21 @@ def cross_validate(
     return (PipelineModel([first, *model.stages]) if first is not None else model), table
 
 
+def choose_by_cv(models: dict[str, Estimator], rows: DataFrame, **kw) -> tuple[str, PipelineModel, DataFrame]:
+    """Cross-validate every named model over the same folds and pick the lowest mean RMSE.
+
+    Returns its name, the model refitted on all rows, and (model, fold, metrics) rows.
+    """
+    tables, fitted, mean = None, {}, {}
+    for name, estimator in models.items():
+        fitted[name], table = cross_validate(estimator, rows, **kw)
+        table = table.select(F.lit(name).alias("model"), "*")
+        mean[name] = table.agg(F.avg("rmse")).first()[0]
+        tables = table if tables is None else tables.unionByName(table)
+    winner = min(mean, key=lambda n: (mean[n], n))
+    return winner, fitted[winner], tables
+
+
 # -- looking into a model -------------------------------------------------------------
 
 

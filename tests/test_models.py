@@ -80,6 +80,13 @@ def test_cross_validation_measures_every_row_once(parts, prefit):
     assert "prediction" in model.transform(parts[1]).columns
 
 
+def test_choice_by_cross_validation(parts):
+    models = {"plain": M.linear(), "flat": M.linear().setRegParam(1e6)}
+    name, model, table = M.choose_by_cv(models, R.kfold(parts[0], KEY, 2), k=2)
+    assert name == "plain" and table.count() == 4
+    assert M.evaluate(model.transform(parts[1])).first()["r2"] > 0.5
+
+
 def test_early_stopping_uses_the_validation_rows(parts):
     marked = R.train_test_split(parts[0], KEY, 0.2, "v", name="is_validation")
     x = TripEncoder().fit(parts[0]).transform(marked)
