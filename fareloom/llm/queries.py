@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.llm import exact_dedup, simhash
+from fareloom.llm import exact_dedup, simhash, substring_dedup
 from fareloom.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,29 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+OP1_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+n AS (SELECT doc_id, w, len(w) AS n FROM d),
+s AS (SELECT doc_id, w, unnest(range(n - 49)) AS p FROM n WHERE n >= 50),
+k AS (SELECT doc_id, p, md5(array_to_string(w[p + 1:p + 50], ' ')) AS k FROM s),
+f AS (SELECT k, min(doc_id) AS lo FROM k GROUP BY k),
+g AS (SELECT doc_id, list_distinct(flatten(list(range(p, p + 50)))) AS gone
+      FROM k JOIN f USING (k) WHERE lo < doc_id GROUP BY doc_id)
+SELECT n.doc_id, n AS n_words, coalesce(len(gone), 0) AS n_removed,
+       sha256(coalesce(array_to_string(
+         list_transform(list_filter(range(n), lambda i: NOT list_contains(coalesce(gone, []), i)), lambda i: w[i + 1]),
+         ' '), '')) AS kept_sha256
+FROM n LEFT JOIN g USING (doc_id)
+"""
+
+
+@query("op1_substring_dedup", OP1_SQL)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.dedup_substrings(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
 @query("op3_simhash_near_dedup")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(read(spark, sf_dir, "documents"))
