@@ -79,7 +79,8 @@ def flags(
     rows = settle(docs.select(ordered_id(id_col).alias("oid"), digest(text_col).alias("digest")), "digests")
     groups = settle(rows.groupBy("digest").agg(F.min("oid").alias("keep_id"), F.count("*").alias("group_size")), "digest-groups")
     index.append(groups)
-    stays = groups.drop("keep_id").join(index.read().hint("merge"), "digest")
+    # Stored, so that the next join deals out both of its sides and can split a digest of many rows.
+    stays = settle(groups.drop("keep_id").join(index.read().hint("merge"), "digest"), "digest-stays")
     found = rows.join(stays, "digest")
     return found.select(
         given_id("oid").alias("doc_id"),
