@@ -6,16 +6,20 @@ columns of its contract from the operator's own output.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.llm import exact_dedup, simhash, substring_dedup
+from fareloom.llm import binary_records, exact_dedup, mixing, simhash, substring_dedup
 from fareloom.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: Where the vocabulary files of public tokenizers are; unset, the installed package has them.
+TOKENIZERS = os.environ.get("FARELOOM_TOKENIZERS", "")
+
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
@@ -53,11 +57,38 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def tokenizer_file(name: str) -> bytes:
+    """A vocabulary file, read where the driver runs; executors get it from there."""
+    if TOKENIZERS:
+        path = os.path.join(TOKENIZERS, name)
+    else:
+        import public_tokenizers
+
+        path = public_tokenizers.path(name)
+    with open(path, "rb") as f:
+        return f.read()
+
+
+@query("op2_binary_token_records")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = tokenizer_file("byte_bpe_50k.json").decode()
+    found = binary_records.round_trip(read(spark, sf_dir, "documents"), vocabulary, end_id=0)
+    return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 @query("op3_simhash_near_dedup")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(read(spark, sf_dir, "documents"))
 
 
+@query("op6_source_mixing")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed, sources = mixing.mix(read(spark, sf_dir, "documents"), F.array("source"))
+    rows = mixed.select("doc_id", F.element_at("_fl_pattern", 1).alias("member"), F.col("_fl_size").alias("size"), "_fl_copies")
+    taken = (F.col("size") * F.col("_fl_copies")).alias("taken")
+    return rows.join(sources, "member").select("doc_id", "size", "source_size", "target", taken)
+
+
 OP8_SQL = r"""
 WITH d AS (
   SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
