@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import os
 import posixpath
-import re
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
@@ -29,18 +28,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.llm.common import LAST_ID, ordered_id, pieces, settle, strings
+from fareloom.llm.common import LAST_ID, Remembered, at_blanks, ordered_id, pieces, settle, strings
 from fareloom.session import scratch_path
 
 #: Fixed values of the record format: the checksum's mask, and the index entry.
 MASK = 0xA282EAD8
 ENTRY = np.dtype([("doc_id", "<i8"), ("missing", "<u1"), ("offset", "<u8"), ("tokens", "<u8")])
-#: White space by Unicode, as a character class.
-_WHITE = "\\t-\\r\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-_PLAIN_SPLIT = re.compile(f" (?=[{_WHITE}]|\\Z)")
-_SPLIT = re.compile(f" (?=[^{_WHITE}])")
 #: Encoded words that a Python worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 600_000
 
 
 class Encoder:
@@ -58,7 +53,7 @@ class Encoder:
         self.library = Tokenizer.from_str(tokenizer)
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.width = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
-        self.known: dict[str, bytes] = {}
+        self.words = Remembered(self._encode, REMEMBERED)
 
     def _encode(self, parts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(parts, add_special_tokens=False)
@@ -66,22 +61,7 @@ class Encoder:
 
     def __call__(self, batch: list[str]) -> list[bytes]:
         """Packed ids of each text."""
-        cut = [self._cut(t) for t in batch]
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        known = self.known
-        if new := list({p for parts in cut for p in parts if p not in known}):
-            known.update(zip(new, self._encode(new)))
-        return [b"".join(map(known.__getitem__, parts)) for parts in cut]
-
-    def _cut(self, text: str) -> list[str]:
-        if any(s in text for s in self.special):
-            return [text]
-        if _PLAIN_SPLIT.search(text):
-            first, *rest = _SPLIT.split(text)
-        else:
-            first, *rest = text.split(" ")
-        return [first, *(" " + p for p in rest)]
+        return self.words.joined([[t] if any(s in t for s in self.special) else at_blanks(t) for t in batch])
 
 
 _encoders: dict[int, Encoder] = {}

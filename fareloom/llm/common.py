@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -14,6 +15,8 @@ from fareloom.session import settle
 #: White space of the word contracts; a word is a run of anything else.
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
+#: White space by Unicode, as a character class.
+WHITE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Stands for a missing id wherever ids are ordered: it comes after every other.
 LAST_ID = (1 << 63) - 1
 
@@ -42,6 +45,45 @@ def strings(column: pa.Array) -> list[str]:
     return [t.decode("utf-8", "replace") for t in texts(column)]
 
 
+_UNEVEN_BLANK = re.compile(rf" (?:[{WHITE}]|\Z)")
+_BLANK_BEFORE_WORD = re.compile(rf" (?=[^{WHITE}])")
+
+
+def at_blanks(text: str) -> list[str]:
+    """The text cut before every blank that a visible character follows; joined, they are the text."""
+    cut = _BLANK_BEFORE_WORD.split(text) if _UNEVEN_BLANK.search(text) else text.split(" ")
+    return [cut[0], *[" " + part for part in cut[1:]]]
+
+
+class Remembered:
+    """What was computed for the pieces of texts, about ``most`` of them.
+
+    Two generations: when the younger is full it becomes the older, and what is asked for
+    again comes back from there, so frequent pieces stay.
+    """
+
+    def __init__(self, compute: Callable[[list[str]], list[bytes]], most: int):
+        self.compute, self.most = compute, most // 2
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def get(self, part: str) -> bytes | None:
+        return self.young.get(part) or self.old.get(part)
+
+    def joined(self, cut: list[list[str]]) -> list[bytes]:
+        """For each list of pieces, what was computed for them one after the other."""
+        if len(self.young) > self.most:
+            self.young, self.old = {}, self.young
+        young, old, new = self.young, self.old, []
+        for part in {p for parts in cut for p in parts}.difference(young):
+            if (value := old.get(part)) is None:
+                new.append(part)
+            else:
+                young[part] = value
+        young.update(zip(new, self.compute(new)))
+        return [b"".join(map(young.__getitem__, parts)) for parts in cut]
+
+
 def pieces(batches: Iterator[pa.RecordBatch], text: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cut batches so that each holds about ``most`` bytes of text, and one row at least."""
     for batch in batches:
@@ -56,4 +98,18 @@ def pieces(batches: Iterator[pa.RecordBatch], text: str, most: int = 4 << 20) ->
             yield batch.slice(begin)
 
 
-__all__ = ["LAST_ID", "SPACE", "WORD", "given_id", "ordered_id", "pieces", "read", "settle", "strings", "texts"]
+__all__ = [
+    "LAST_ID",
+    "SPACE",
+    "WHITE",
+    "WORD",
+    "Remembered",
+    "at_blanks",
+    "given_id",
+    "ordered_id",
+    "pieces",
+    "read",
+    "settle",
+    "strings",
+    "texts",
+]

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.llm import binary_records, exact_dedup, mixing, simhash, substring_dedup
+from fareloom.llm import binary_records, bpe, exact_dedup, language_id, mixing, simhash, substring_dedup
 from fareloom.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,6 +81,26 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(read(spark, sf_dir, "documents"))
 
 
+def byte_pattern() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.PATTERN
+
+
+@query("op5_byte_bpe")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = tokenizer_file("byte_bpe_multi_50k.tiktoken")
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = bpe.encode(docs, ranks, byte_pattern()).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
+        "ids",
+    )
+    read_back = bpe.decode(coded, ranks)
+    return read_back.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 @query("op6_source_mixing")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed, sources = mixing.mix(read(spark, sf_dir, "documents"), F.array("source"))
@@ -103,3 +123,11 @@ FROM d WINDOW same AS (PARTITION BY text_sha256)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.flags(read(spark, sf_dir, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+@query("op9_language_id")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = language_id.learn(docs.where(~language_id.held_out("doc_id")))
+    found = language_id.classify(docs, model)
+    return found.select("doc_id", language_id.held_out("doc_id").alias("held_out"), "lang_pred", "score", "margin", "rejected")
