@@ -167,13 +167,15 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", windo
     first = settle(blocks.groupBy(*same).agg(F.min("oid").alias("ref")), "first-blocks")
     whole = blocks.drop("hashes").join(first, same).where("ref < oid").select("oid", "text_hash", "start", "windows", "ref")
 
-    open_seeds = first.groupBy("seed").agg(F.count("*").alias("n")).where("n > 1").select("seed")
+    # Minima and counts are stored before they are joined back: then both sides of the join are dealt
+    # out for it alone, and a seed or window of many rows can be split.
+    open_seeds = settle(first.groupBy("seed").agg(F.count("*").alias("n")).where("n > 1").select("seed"), "open-seeds")
     opened = first.join(open_seeds, "seed", "left_semi").withColumnRenamed("ref", "oid")
     place, one = F.posexplode("hashes").alias("i", "window_hash"), F.lit(1).cast("long")
     single = blocks.join(opened, [*same, "oid"]).select("seed", "oid", "text_hash", "start", place)
     single = settle(single.select("seed", "window_hash", "oid", "text_hash", (F.col("start") + F.col("i")).alias("start")), "windows")
     least = single.groupBy("seed", "window_hash").agg(F.min("oid").alias("ref"), F.max("oid").alias("hi")).where("ref < hi")
-    partly = single.join(least, ["seed", "window_hash"]).where("ref < oid").select("oid", "text_hash", "start", one.alias("windows"), "ref")
+    partly = single.join(settle(least, "first-windows"), ["seed", "window_hash"]).where("ref < oid").select("oid", "text_hash", "start", one.alias("windows"), "ref")
     return settle(whole.union(partly), "spans")
 
 
