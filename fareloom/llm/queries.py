@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.llm import binary_records, bpe, exact_dedup, language_id, mixing, simhash, substring_dedup
+from fareloom.llm import binary_records, bpe, exact_dedup, language_id, mixing, pii, simhash, substring_dedup
 from fareloom.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -109,6 +109,23 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.join(sources, "member").select("doc_id", "size", "source_size", "target", taken)
 
 
+def span_columns(kinds: dict[str, str]) -> list:
+    """Counts of base spans per kind (name of the column: kind), their digest, and all spans as text."""
+    text = "transform(filter(spans, s -> {0}), s -> concat_ws(':', s.kind, s.start, s.end))"
+    return [
+        *[F.expr(f"CAST(size(filter(spans, s -> s.base AND s.kind = '{kind}')) AS BIGINT)").alias(name) for name, kind in kinds.items()],
+        F.expr(f"sha2(CAST(concat_ws(',', {text.format('s.base')}) AS BINARY), 256)").alias("base_sha256"),
+        F.expr(f"concat_ws(',', {text.format('true')})").alias("spans"),
+    ]
+
+
+@query("op7_personal_data")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    found = pii.find(docs, pii.learn(docs))
+    return found.select("doc_id", *span_columns({f"n_{kind}": kind for kind in pii.KINDS}))
+
+
 OP8_SQL = r"""
 WITH d AS (
   SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
