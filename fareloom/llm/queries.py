@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.llm import binary_records, bpe, exact_dedup, language_id, mixing, pii, simhash, substring_dedup
+from fareloom.llm import binary_records, bpe, exact_dedup, language_id, mixing, pii, secret_scan, simhash, substring_dedup
 from fareloom.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,6 +81,45 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(read(spark, sf_dir, "documents"))
 
 
+def span_columns(kinds: dict[str, str]) -> list:
+    """Counts of base spans per kind (name of the column: kind), their digest, and all spans as text."""
+    text = "transform(filter(spans, s -> {0}), s -> concat_ws(':', s.kind, s.start, s.end))"
+    return [
+        *[F.expr(f"CAST(size(filter(spans, s -> s.base AND s.kind = '{kind}')) AS BIGINT)").alias(name) for name, kind in kinds.items()],
+        F.expr(f"sha2(CAST(concat_ws(',', {text.format('s.base')}) AS BINARY), 256)").alias("base_sha256"),
+        F.expr(f"concat_ws(',', {text.format('true')})").alias("spans"),
+    ]
+
+
+def _rule_sql(rule: secret_scan.Rule, number: int) -> str:
+    pattern = "'" + rule.pattern.replace("'", "''") + "'"
+    return f"""
+  SELECT doc_id, {number} AS number, '{rule.kind}' AS kind, {str(rule.base).lower()} AS base, upto - length(m) AS b, upto AS e
+  FROM (SELECT doc_id, m, g, sum(length(gap) + length(m)) OVER (PARTITION BY doc_id ORDER BY i)::BIGINT AS upto
+        FROM (SELECT doc_id, unnest(range(1, len(ms) + 1)) AS i, unnest(ms) AS m, unnest(gs) AS g, unnest(gaps[1:len(ms)]) AS gap
+              FROM (SELECT doc_id, regexp_extract_all(text, {pattern}) AS ms, regexp_extract_all(text, {pattern}, {rule.group}) AS gs,
+                           string_split_regex(text, {pattern}) AS gaps FROM d)))
+  WHERE length(g) >= {rule.least}"""
+
+
+OP4_SQL = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+s AS ({" UNION ALL ".join(_rule_sql(rule, n) for n, rule in enumerate(secret_scan.RULES))}),
+t AS (SELECT doc_id, kind, base, concat(kind, ':', b, ':', e) AS span, b, number FROM s)
+SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+       count(*) FILTER (kind = 'hex') AS n_hex,
+       sha256(coalesce(string_agg(span, ',' ORDER BY b, number) FILTER (base), '')) AS base_sha256,
+       coalesce(string_agg(span, ',' ORDER BY b, number), '') AS spans
+FROM d LEFT JOIN t USING (doc_id) GROUP BY doc_id
+"""
+
+
+@query("op4_secret_scan", OP4_SQL)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", *span_columns({"n_assign": "assign", "n_access": "access", "n_hex": "hex"}))
+
+
 def byte_pattern() -> str:
     import public_tokenizers
 
@@ -109,16 +148,6 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.join(sources, "member").select("doc_id", "size", "source_size", "target", taken)
 
 
-def span_columns(kinds: dict[str, str]) -> list:
-    """Counts of base spans per kind (name of the column: kind), their digest, and all spans as text."""
-    text = "transform(filter(spans, s -> {0}), s -> concat_ws(':', s.kind, s.start, s.end))"
-    return [
-        *[F.expr(f"CAST(size(filter(spans, s -> s.base AND s.kind = '{kind}')) AS BIGINT)").alias(name) for name, kind in kinds.items()],
-        F.expr(f"sha2(CAST(concat_ws(',', {text.format('s.base')}) AS BINARY), 256)").alias("base_sha256"),
-        F.expr(f"concat_ws(',', {text.format('true')})").alias("spans"),
-    ]
-
-
 @query("op7_personal_data")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
