@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 from collections.abc import Callable, Iterator
 
@@ -84,6 +85,16 @@ class Remembered:
         return [b"".join(map(young.__getitem__, parts)) for parts in cut]
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of the shuffle files of what is stored by now.
+
+    Spark deletes them when the driver collects the objects that stand for them as garbage,
+    which a loop over stored tables may outrun.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def pieces(batches: Iterator[pa.RecordBatch], text: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cut batches so that each holds about ``most`` bytes of text, and one row at least."""
     for batch in batches:
@@ -109,6 +120,7 @@ __all__ = [
     "ordered_id",
     "pieces",
     "read",
+    "release",
     "settle",
     "strings",
     "texts",

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.llm import binary_records, bpe, exact_dedup, language_id, mixing, pii, secret_scan, simhash, substring_dedup
+from fareloom.llm import binary_records, bpe, exact_dedup, language_id, mixing, neighbours, pii, secret_scan, simhash, substring_dedup
 from fareloom.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -177,3 +177,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language_id.learn(docs.where(~language_id.held_out("doc_id")))
     found = language_id.classify(docs, model)
     return found.select("doc_id", language_id.held_out("doc_id").alias("held_out"), "lang_pred", "score", "margin", "rejected")
+
+
+@query("op10_nearest_neighbours")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
