@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import base64
 from array import array
-from collections import defaultdict
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 
@@ -27,7 +26,7 @@ from pyspark.sql import functions as F
 from fareloom.llm.common import WHITE, Remembered, at_blanks, pieces, strings
 
 #: Pieces of texts that a Python worker remembers.
-REMEMBERED = 1_000_000
+REMEMBERED = 800_000
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
@@ -35,63 +34,95 @@ def read_ranks(data: bytes) -> dict[bytes, int]:
     return {base64.b64decode(t): int(r) for t, r in map(bytes.split, data.splitlines()) if t}
 
 
-def replay(words: list[bytes], ranks: dict[bytes, int]) -> list[list[int]]:
+class Merges:
+    """The ranks, as a table from two adjacent tokens to the token they make.
+
+    A token is its rank. Every way to halve a token's bytes into two tokens is an entry, since
+    bytes alone decide what may be merged.
+    """
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.ranks = ranks
+        self.width = max(ranks.values(), default=0).bit_length() + 1
+        self.of = {
+            ranks[t[:i]] << self.width | ranks[t[i:]]: r for t, r in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks
+        }
+        self.byte = np.array([ranks.get(bytes([b]), -1) for b in range(256)])
+        self.first = np.full(1 << 16, -1)
+        for a in range(256):
+            for b in range(256):
+                self.first[a << 8 | b] = self.of.get(int(self.byte[a]) << self.width | int(self.byte[b]), -1)
+
+
+def replay(words: list[bytes], merges: Merges) -> list[list[int]]:
     """Ids of each word: merges of the lowest rank first, at equal rank the leftmost first.
 
     A word that is a token is that token. If a merge makes a pair of lower rank possible, the
     word's other places wait until that pair has been merged.
     """
-    out: list[list[int]] = [[] for _ in words]
-    token: list[bytes] = []
-    before: list[int] = []
-    after: list[int] = []
-    word_of: list[int] = []
-    places: dict[int, list[int]] = defaultdict(list)
-    heads: list[tuple[int, int]] = []
-    for w, word in enumerate(words):
-        if word in ranks:
-            out[w] = [ranks[word]]
-            continue
-        base, last = len(token), len(token) + len(word) - 1
-        heads.append((w, base))
-        for i in range(len(word)):
-            token.append(word[i : i + 1])
-            before.append(base + i - 1 if i else -1)
-            after.append(base + i + 1 if base + i < last else -1)
-            word_of.append(w)
-            if i + 1 < len(word) and (r := ranks.get(word[i : i + 2])) is not None:
-                places[r].append(base + i)
+    out = [[r] if (r := merges.ranks.get(w)) is not None else [] for w in words]
+    open_ = [n for n, ids in enumerate(out) if not ids and words[n]]
+    if not open_:
+        return out
+    flat = np.frombuffer(b"".join([words[n] for n in open_]), np.uint8).astype(np.int64)
+    sizes = np.array([len(words[n]) for n in open_])
+    ends = np.cumsum(sizes)
+    token = merges.byte[flat].tolist()
+    before, after = list(range(-1, len(flat) - 1)), list(range(1, len(flat) + 1))
+    for e in ends.tolist():
+        after[e - 1] = -1
+        if e < len(flat):
+            before[e] = -1
+    rank_at = merges.first[flat[:-1] << 8 | flat[1:]]
+    rank_at[ends[:-1] - 1] = -1
+    found = np.flatnonzero(rank_at >= 0)
+    found = found[np.argsort(rank_at[found], kind="stable")]
+    cuts = np.flatnonzero(np.diff(rank_at[found])) + 1
+    places: dict[int, list[int]] = {int(rank_at[p[0]]): p.tolist() for p in np.split(found, cuts) if len(p)}
     heap = list(places)
     heapify(heap)
+    word_of = np.repeat(np.arange(len(open_)), sizes).tolist()
+    made, width = merges.of.get, merges.width
     while heap:
         rank = heappop(heap)
         waiting = places.pop(rank, None)
         if not waiting:
             continue
+        waiting.sort()
         held: set[int] = set()
-        for at in sorted(waiting):
+        for at in waiting:
             right = after[at]
-            if token[at] is None or right < 0 or ranks.get(joined := token[at] + token[right]) != rank:
+            if right < 0 or token[at] < 0 or made(token[at] << width | token[right]) != rank:
                 continue
-            if word_of[at] in held:
-                places[rank].append(at)
+            if held and word_of[at] in held:
+                places.setdefault(rank, []).append(at)
                 continue
-            token[at], token[right], after[at] = joined, None, after[right]
-            if after[at] >= 0:
-                before[after[at]] = at
-            for left in (before[at], at):
-                if left >= 0 and after[left] >= 0 and (r := ranks.get(token[left] + token[after[left]])) is not None:
-                    if r not in places:
+            token[at], token[right] = rank, -1
+            after[at] = beyond = after[right]
+            if beyond >= 0:
+                before[beyond] = at
+                if (r := made(rank << width | token[beyond])) is not None:
+                    if r in places:
+                        places[r].append(at)
+                    else:
+                        places[r] = [at]
                         heappush(heap, r)
-                    places[r].append(left)
                     if r < rank:
                         held.add(word_of[at])
-        if places.get(rank):
+            left = before[at]
+            if left >= 0 and (r := made(token[left] << width | rank)) is not None:
+                if r in places:
+                    places[r].append(left)
+                else:
+                    places[r] = [left]
+                    heappush(heap, r)
+                if r < rank:
+                    held.add(word_of[at])
+        if rank in places:
             heappush(heap, rank)
-    for w, at in heads:
-        while at >= 0:
-            out[w].append(ranks[token[at]])
-            at = after[at]
+    starts = ends - sizes
+    for n, a, b in zip(open_, starts.tolist(), ends.tolist()):
+        out[n] = [t for t in token[a:b] if t >= 0]
     return out
 
 
@@ -104,7 +135,7 @@ class Encoder:
     """
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.ranks = ranks
+        self.merges = Merges(ranks)
         self.pattern = regex.compile(pattern.replace(r"[^\s", f"[^{WHITE}").replace(r"\s", f"[{WHITE}]").replace(r"\S", f"[^{WHITE}]"))
         self.parts = Remembered(self._encode, REMEMBERED)
 
@@ -117,7 +148,7 @@ class Encoder:
                 new.append(word)
             else:
                 known[word] = ids
-        found = replay([w.encode() for w in new], self.ranks)
+        found = replay([w.encode() for w in new], self.merges)
         known.update((w, array("i", ids).tobytes()) for w, ids in zip(new, found))
         return [known[words[0]] if len(words) == 1 else b"".join([known[w] for w in words]) for words in cut]
 
@@ -168,9 +199,15 @@ def decode(docs: DataFrame, ranks: bytes, ids_col: str = "ids", out: str = "deco
     place = kept.columns.index(ids_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bytes_of = {r: t for t, r in read_ranks(held.value).items()}
+        ranks = read_ranks(held.value)
+        tokens = np.empty(max(ranks.values(), default=-1) + 1, object)
+        for t, r in ranks.items():
+            tokens[r] = t
         for batch in batches:
-            data = [b"".join(map(bytes_of.__getitem__, i)) if (i := row.as_py()) else b"" for row in batch.column(place)]
+            ids = batch.column(place)
+            ends = np.cumsum([n or 0 for n in ids.value_lengths().to_pylist()]).tolist()
+            flat = tokens[ids.flatten().to_numpy(zero_copy_only=False)]
+            data = [b"".join(flat[a:b].tolist()) for a, b in zip([0, *ends], ends)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(data, pa.binary())], [*batch.schema.names, out])
 
     schema = kept.select("*", F.lit(None).cast("binary").alias(out)).schema
