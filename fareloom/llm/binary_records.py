@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.llm.common import LAST_ID, Remembered, at_blanks, ordered_id, pieces, settle, strings
+from fareloom.llm.common import LAST_ID, Remembered, at_blanks, ordered_id, pieces, settle, ship, strings
 from fareloom.session import scratch_path
 
 #: Fixed values of the record format: the checksum's mask, and the index entry.
@@ -105,6 +105,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, id_col: s
     order of id, a missing id last, equal ids by text.
     """
     spark = docs.sparkSession
+    ship(spark)
     held = spark.sparkContext.broadcast(tokenizer)  # one vocabulary file, whatever the input
     files = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -146,6 +147,7 @@ def read(spark: SparkSession, path: str, parts: DataFrame) -> DataFrame:
     ``start`` counts the ids of all documents before it; ``ids`` are packed little-endian
     unsigned 32-bit integers. ``parts`` is what ``write`` returned: a row per file.
     """
+    ship(spark)
     begin, todo = 0, []
     for part, tokens, width in sorted(tuple(r) for r in parts.select("part", "tokens", "width").collect()):
         todo.append((part, begin, width))
@@ -213,6 +215,7 @@ def read_shuffled(spark: SparkSession, path: str, parts: DataFrame, seed: int =
                     one = np.array([tuple(row[k] for k in ENTRY.names)], ENTRY)
                     yield from _records(one, lambda _: unframe(f), row["width"], 0)
 
+    ship(spark)
     places = parts.repartition(parts.count() or 1).mapInArrow(entries, "doc_id long, missing long, offset long, tokens long, part long, width long")
     mixed = places.withColumn("at", F.xxhash64(F.lit(seed), "part", "offset"))
     tasks = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fareloom.llm.common import WHITE, Remembered, at_blanks, pieces, strings
+from fareloom.llm.common import WHITE, Remembered, at_blanks, pieces, ship, strings
 
 #: Pieces of texts that a Python worker remembers.
 REMEMBERED = 800_000
@@ -173,6 +173,7 @@ def encode(docs: DataFrame, ranks: bytes, pattern: str, text_col: str = "text",
     ``ranks`` is the content of a rank file, which has a fixed size. A column that is already
     called ``out`` is replaced.
     """
+    ship(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(ranks)
     kept = docs.drop(out)
     place = kept.columns.index(text_col)
@@ -194,6 +195,7 @@ def decode(docs: DataFrame, ranks: bytes, ids_col: str = "ids", out: str = "deco
 
     An id that no token has is an error. A column that is already called ``out`` is replaced.
     """
+    ship(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(ranks)
     kept = docs.drop(out)
     place = kept.columns.index(ids_col)

@@ -4,13 +4,17 @@ from __future__ import annotations
 
 import gc
 import re
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import fareloom
 from fareloom.session import settle
 
 #: White space of the word contracts; a word is a run of anything else.
@@ -85,6 +89,26 @@ class Remembered:
         return [b"".join(map(young.__getitem__, parts)) for parts in cut]
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this library to the executors' Python workers, once per application.
+
+    The archive is made where the driver runs; Spark hands it out as it does for --py-files.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    root = Path(fareloom.__file__).parent
+    archive = Path(tempfile.mkdtemp(prefix="fareloom-ship-")) / "fareloom.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for source in sorted(root.rglob("*.py")):
+            z.write(source, source.relative_to(root.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _shipped.add(app)
+
+
 def release(spark: SparkSession) -> None:
     """Let go of the shuffle files of what is stored by now.
 
@@ -122,6 +146,7 @@ __all__ = [
     "read",
     "release",
     "settle",
+    "ship",
     "strings",
     "texts",
 ]

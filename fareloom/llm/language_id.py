@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fareloom.llm.common import pieces, strings
+from fareloom.llm.common import pieces, ship, strings
 
 DOCUMENTS = 128
 SAMPLE_BYTES = 1700
@@ -84,7 +84,8 @@ def learn(
 class Classifier:
     def __init__(self, model: dict[str, bytes]):
         self.languages = sorted(model)
-        usual = {"compression_level": LEVEL}
+        # With a window of up to 14 bits every call searches the whole dictionary and nothing of earlier calls.
+        usual = {"compression_level": LEVEL, "window_log": 14}
         finer = {**usual, "min_match": 3, "strategy": zstandard.STRATEGY_BTOPT}
         self.compressors, self.finer = ([self._compressor(model[x], **how) for x in self.languages] for how in (usual, finer))
 
@@ -121,6 +122,7 @@ def classify(docs: DataFrame, model: dict[str, bytes], id_col: str = "doc_id", t
     settings; what is equal then goes to the first language by name.
     The model is bounded by its sample and is sent to the executors.
     """
+    ship(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,6 +139,7 @@ def classify(docs: DataFrame, model: dict[str, bytes], id_col: str = "doc_id", t
 
 def keep_identified(docs: DataFrame, model: dict[str, bytes], text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose language is not rejected, with their columns, in one pass."""
+    ship(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(model)
     place = docs.columns.index(text_col)
 

@@ -6,9 +6,9 @@ scores whole candidate segments (shape, digit groups, checksum, length, words be
 the segment meets its neighbours) and a dynamic program over segments of at most ``LONGEST``
 atoms chooses boundaries and kinds together.
 
-An atom is a run of letters, a run of digits or a single other character. A candidate holds
-an @, or seven digits, or four digits and three dots; a text without a digit and without an @
-has none, and around the others only the surroundings of such characters are looked at. Elsewhere
+An atom is a run of letters, a run of digits or a single other character. A candidate holds an @ or
+the word "at", or no letter and seven digits or four digits and three dots; a text without a digit
+and without an @ is not looked into, and around the others only the surroundings of such characters are looked at. Elsewhere
 every atom is outside any entity, so the program over these regions is the one over the text.
 
 The weights are fitted on the driver by stochastic gradient ascent of the likelihood, from at
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fareloom.llm.common import pieces, strings
+from fareloom.llm.common import pieces, ship, strings
 
 #: The kinds in the order in which they are reported, and their forms.
 KINDS = ("email", "ip", "card", "phone")
@@ -89,14 +89,15 @@ def base_spans(text: str) -> list[Span]:
 
 def regions(text: str) -> Iterator[tuple[int, int]]:
     """Stretches of the text around its digits and @; those that touch are one."""
-    begin = end = -1
+    begin, end = 0, None
     for m in _HINT.finditer(text):
-        if m.start() - AROUND > end:
-            if end >= 0:
-                yield begin, end
+        if end is not None and m.start() - AROUND > end:
+            yield begin, end
+            end = None
+        if end is None:
             begin = max(0, m.start() - AROUND)
         end = min(len(text), m.start() + AROUND)
-    if end >= 0:
+    if end is not None:
         yield begin, end
 
 
@@ -111,10 +112,11 @@ class Lattice:
         self.text, self.atoms = text, found
         taken = [any(a < e and s < b for _, s, e in closed) for a, b in found]
         word = [text[a:b] for a, b in found]
-        counts = [(0, 0, 0)]
+        counts = [(0, 0, 0, 0)]
         for w in word:
-            d, at, dot = counts[-1]
-            counts.append((d + (len(w) if w[0] in "0123456789" else 0), at + (w == "@" or w.lower() == "at"), dot + (w == ".")))
+            d, at, dot, letters = counts[-1]
+            more = len(w) if w[0] in "0123456789" else 0
+            counts.append((d + more, at + (w == "@" or w.lower() == "at"), dot + (w == "."), letters + w[0].isalpha()))
         self.ends: list[list[tuple[int, list[str]]]] = [[] for _ in range(len(found) + 1)]
         for i in range(len(found)):
             if word[i] not in "+([" and not word[i][0].isalnum():
@@ -122,8 +124,8 @@ class Lattice:
             for j in range(i + 1, min(len(found), i + LONGEST) + 1):
                 if taken[j - 1] or "\n" in text[found[max(i, j - 2)][0] : found[j - 1][1]]:
                     break
-                d, at, dot = (counts[j][k] - counts[i][k] for k in range(3))
-                if word[j - 1][0].isalnum() and (at or d >= 7 or d >= 4 and dot >= 3):
+                d, at, dot, letters = (counts[j][k] - counts[i][k] for k in range(4))
+                if word[j - 1][0].isalnum() and (at or not letters and (d >= 7 or d >= 4 and dot >= 3)):
                     self.ends[j].append((i, self._features(i, j, word, d)))
 
     def _features(self, i: int, j: int, word: list[str], d: int) -> list[str]:
@@ -255,7 +257,8 @@ def disguised(kind: str, text: str, rng: random.Random) -> str:
     if kind == "card":
         mark = rng.choice([".", "/", "  "])
         return mark.join(digits[i : i + 4] for i in range(0, len(digits), 4))
-    cut = rng.choice([(3, 3), (2, 4), (4, 3)])
+    digits = rng.choice([digits, digits[-10:], digits[-10:]])  # often without the country
+    cut = rng.choice([(3, 3), (3, 3), (2, 4), (4, 3)])
     parts = [digits[: cut[0]], digits[cut[0] : sum(cut)], digits[sum(cut) :]]
     return rng.choice(["({}) {}-{}", "{}-{}-{}", "{} {} {}", "{}.{}.{}", "00{} {} {}"]).format(*parts)
 
@@ -284,6 +287,7 @@ def learn(docs: DataFrame, text_col: str = "text", most: int = REGIONS, seed: in
             found = {t[a : min(b, a + REGION_CHARS)] for t in strings(batch.column("text")) for a, b in regions(t)}
             yield pa.RecordBatch.from_arrays([pa.array(sorted(found), pa.string())], ["region"])
 
+    ship(docs.sparkSession)
     cut = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "region string")
     first = cut.distinct().orderBy(F.xxhash64(F.lit(seed), "region"), "region").limit(most)
     return SemiMarkov().fit(examples([r.region for r in first.collect()], seed)).weights
@@ -295,6 +299,7 @@ def find(docs: DataFrame, weights: dict[str, list[float]], id_col: str = "doc_id
     Places are code points, the end exclusive. ``base`` marks what the rules found; the added
     spans overlap neither those nor each other. A missing or empty text has no spans.
     """
+    ship(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(weights)
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("base", pa.bool_())]))
 

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fareloom.llm.common import given_id, ordered_id, pieces, settle, texts
+from fareloom.llm.common import given_id, ordered_id, pieces, settle, ship, texts
 from fareloom.llm.components import components
 
 THRESHOLD = 3
@@ -63,6 +63,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             columns = [batch.column("oid"), batch.column("text_hash"), pa.array(fp)]
             yield pa.RecordBatch.from_arrays(columns, ["oid", "text_hash", "fp"])
 
+    ship(docs.sparkSession)
     rows = docs.select(ordered_id(id_col).alias("oid"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
     return rows.mapInArrow(run, "oid long, text_hash long, fp long")
 
@@ -156,6 +157,7 @@ def links(classes: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
             found += _at_anchor(int(key[cuts[i]]), fp[cuts[i] : cuts[i + 1]], threshold)
         return found
 
+    ship(classes.sparkSession)
     sent = classes.select("fp", F.explode(anchors("fp")).alias("anchor"))
     return sent.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, "a long, b long")
 

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fareloom.llm.common import given_id, ordered_id, pieces, settle, texts
+from fareloom.llm.common import given_id, ordered_id, pieces, settle, ship, texts
 
 WINDOW = 50
 SEED_WORDS = 8
@@ -157,6 +157,7 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", windo
     """(oid, text_hash, start, windows, ref): runs of windows that document ``ref`` < oid holds first."""
     if window < 2 * SEED_WORDS:
         raise ValueError(f"a window has to have {2 * SEED_WORDS} words at least")
+    ship(docs.sparkSession)
     rows = docs.select(ordered_id(id_col).alias("oid"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
     seeds = settle(_seeds(rows, window), "seeds")
     shared = settle(seeds.groupBy("seed").agg(F.min("oid").alias("lo"), F.max("oid").alias("hi")).where("lo < hi").select("seed"), "shared-seeds")
