@@ -45,7 +45,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, n_tokens and ids of every document; decoding the ids gives back the text or fails."""
     ranks = tokenizer_file("byte_bpe_multi_50k.tiktoken")
-    coded = bpe.decode(bpe.encode(docs.select("doc_id", "source", "text"), ranks, byte_pattern()), ranks)
+    coded = bpe.encode(docs.select("doc_id", "source", "text"), ranks, byte_pattern(), decoded="decoded")
     same = F.col("decoded") == F.coalesce(F.col("text"), F.lit("")).cast("binary")
     checked = F.when(same, F.col("ids")).otherwise(F.raise_error(F.lit("decoded ids differ from their text")).cast("array<int>"))
     return coded.select("doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), checked.alias("ids"))

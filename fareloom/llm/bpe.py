@@ -22,11 +22,12 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from fareloom.llm.common import WHITE, Remembered, at_blanks, pieces, ship, strings
 
 #: Pieces of texts that a Python worker remembers.
-REMEMBERED = 800_000
+REMEMBERED = 500_000
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
@@ -135,7 +136,7 @@ class Encoder:
     """
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.merges = Merges(ranks)
+        self.merges, self.tokens = Merges(ranks), _tokens(ranks)
         self.pattern = regex.compile(pattern.replace(r"[^\s", f"[^{WHITE}").replace(r"\s", f"[{WHITE}]").replace(r"\S", f"[^{WHITE}]"))
         self.parts = Remembered(self._encode, REMEMBERED)
 
@@ -167,15 +168,30 @@ def _encoder(ranks: bytes, pattern: str) -> Encoder:
     return _encoders[key]
 
 
-def encode(docs: DataFrame, ranks: bytes, pattern: str, text_col: str = "text", out: str = "ids") -> DataFrame:
+def _tokens(ranks: dict[bytes, int]) -> np.ndarray:
+    """The bytes of every id."""
+    out = np.empty(max(ranks.values(), default=-1) + 1, object)
+    for token, rank in ranks.items():
+        out[rank] = token
+    return out
+
+
+def _added(df: DataFrame, kinds: dict[str, str]) -> StructType:
+    return df.select("*", *[F.lit(None).cast(kind).alias(name) for name, kind in kinds.items()]).schema
+
+
+def encode(
+    docs: DataFrame, ranks: bytes, pattern: str, text_col: str = "text", out: str = "ids", decoded: str | None = None
+) -> DataFrame:
     """``docs`` with the ids of ``text_col`` as array<int> ``out``; a missing or empty text has none.
 
-    ``ranks`` is the content of a rank file, which has a fixed size. A column that is already
-    called ``out`` is replaced.
+    With ``decoded``, a binary column of that name holds what the ids decode to, from the same pass.
+    ``ranks`` is the content of a rank file, which has a fixed size. Columns that already have
+    such a name are replaced.
     """
     ship(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(ranks)
-    kept = docs.drop(out)
+    kept = docs.drop(out, *([decoded] if decoded else []))
     place = kept.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,10 +200,13 @@ def encode(docs: DataFrame, ranks: bytes, pattern: str, text_col: str = "text",
             found = encoder(strings(batch.column(place)))
             ends = np.concatenate(([0], np.cumsum([len(i) for i in found]))).astype(np.int32)
             ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found) if found else np.empty(0, np.int32)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, ids], [*batch.schema.names, out])
+            columns, names = [*batch.columns, ids], [*batch.schema.names, out]
+            if decoded:
+                columns.append(pa.array([b"".join(encoder.tokens[i].tolist()) for i in found], pa.binary()))
+                names.append(decoded)
+            yield pa.RecordBatch.from_arrays(columns, names)
 
-    schema = kept.select("*", F.lit(None).cast("array<int>").alias(out)).schema
-    return kept.mapInArrow(run, schema)
+    return kept.mapInArrow(run, _added(kept, {out: "array<int>"} | ({decoded: "binary"} if decoded else {})))
 
 
 def decode(docs: DataFrame, ranks: bytes, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
@@ -201,16 +220,14 @@ def decode(docs: DataFrame, ranks: bytes, ids_col: str = "ids", out: str = "deco
     place = kept.columns.index(ids_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks = read_ranks(held.value)
-        tokens = np.empty(max(ranks.values(), default=-1) + 1, object)
-        for t, r in ranks.items():
-            tokens[r] = t
-        for batch in batches:
-            ids = batch.column(place)
-            ends = np.cumsum([n or 0 for n in ids.value_lengths().to_pylist()]).tolist()
-            flat = tokens[ids.flatten().to_numpy(zero_copy_only=False)]
-            data = [b"".join(flat[a:b].tolist()) for a, b in zip([0, *ends], ends)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(data, pa.binary())], [*batch.schema.names, out])
-
-    schema = kept.select("*", F.lit(None).cast("binary").alias(out)).schema
-    return kept.mapInArrow(run, schema)
+        tokens = _tokens(read_ranks(held.value))
+        for whole in batches:
+            for at in range(0, whole.num_rows, 256):
+                batch = whole.slice(at, 256)
+                ids = batch.column(place)
+                flat = ids.flatten().to_numpy(zero_copy_only=False)
+                ends = np.cumsum([n or 0 for n in ids.value_lengths().to_pylist()]).tolist()
+                data = [b"".join(tokens[flat[a:b]].tolist()) for a, b in zip([0, *ends], ends)]
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(data, pa.binary())], [*batch.schema.names, out])
+
+    return kept.mapInArrow(run, _added(kept, {out: "binary"}))
