@@ -18,7 +18,7 @@ from fareloom.functions.exprs import any_null, minutes_between, percent, ratio
 from fareloom.functions.features import DURATION, speed_mph
 from fareloom.operators.quantiles import (
     fit_quantiles,
-    fit_quantiles_by,
+    quantiles_by,
     modes,
     value_counts,
 )
@@ -357,16 +357,13 @@ def tip_report(t: DataFrame, exact: bool = True) -> DataFrame:
 
 
 def tip_by_payment(t: DataFrame, by: str = "payment_type", col: str = "tip_amount", exact: bool = True) -> DataFrame:
-    """Mean, median and count of the tip for each payment code."""
-    median = fit_quantiles_by(t, col, by, (0.5,), exact)
-    pick = F.lit(None).cast("double")
-    for code, (value,) in median.items():
-        pick = F.when(F.col(by).eqNullSafe(F.lit(code)), number(value)).otherwise(pick)
-    return (
-        t.groupBy(by)
-        .agg(F.avg(col).alias("mean"), F.count(col).alias("count"))
-        .select(by, "mean", pick.alias("median"), "count")
-    )
+    """Mean, median and count of the tip for each payment code; ``exact=False`` takes the median from a sketch."""
+    mean, count = F.avg(col).alias("mean"), F.count(col).alias("count")
+    if not exact:
+        return t.groupBy(by).agg(mean, F.percentile_approx(col, 0.5).cast("double").alias("median"), count)
+    plain = t.groupBy(by).agg(mean, count)
+    median = quantiles_by(t, col, by, (0.5,)).select(F.col(by).alias("_by"), F.get("quantiles", F.lit(0)).alias("median"))
+    return plain.join(median, F.col(by).eqNullSafe(F.col("_by")), "left").select(by, "mean", "median", "count")
 
 
 def speed_report(t: DataFrame, slow: float = 30.0, fast: float = 80.0, exact: bool = True) -> DataFrame:

@@ -3,34 +3,32 @@
 Spark's ``percentile``, ``median`` and ``mode`` keep every distinct value of a group in
 one aggregation buffer, which a column of ratios over billions of rows does not allow.
 
-``fit_quantiles`` searches by counting instead. The first pass counts rows in cells of a
-signed logarithmic grid, a few thousand however large the table is, which shows the cell
+``fit_quantiles`` searches by counting instead, however large the table is. The first pass
+counts rows in cells of a signed logarithmic grid, a few thousand of them, which shows the cell
 that holds each wanted rank. The next pass splits only those cells, evenly between their
 own smallest and largest value, into ``CELLS`` cells each. A cell with a single value
 ends the search; any other is split again. Values with few digits, such as money, need
 two passes, arbitrary doubles three or four. Every pass is a scan with map-side
-aggregation and no shuffle of rows. Only tables of a counted, small size use
-``percentile``, whose buffers the row count then bounds.
+aggregation and no shuffle of rows; running sums over the counts pick the cells of the wanted
+ranks, and only those cells reach the driver. ``quantiles_by`` does the same within the groups
+of a key, all on the cluster.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_right
-from collections.abc import Iterable, Sequence
-from itertools import accumulate
+from collections.abc import Callable, Iterable, Sequence
 from math import ceil, floor
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fareloom.functions.exprs import nan_to_null
+from fareloom.session import settle
 
 CELLS = 4096
 LOG_CELLS_PER_E = 64  # first-pass cells are about 1/64 wide, relative to the value
 LOG_UNIT = 1e-4
 SKETCH = 10000
-SMALL_ROWS = 1_000_000
-MAX_GROUPS = 1000
 
 Bracket = tuple[float, float]
 
@@ -107,32 +105,49 @@ def _cell(v: Column, brackets: list[Bracket]) -> Column:
     return out.otherwise(base)
 
 
-def _count_cells(t: DataFrame, search: dict[str, list[Bracket]]) -> dict[str, list]:
+def _ranks(probs: Sequence[float], total: Column) -> Column:
+    """The zero-based ranks on both sides of every quantile."""
+    at = [F.lit(p) * (total - 1) for p in probs]
+    return F.array_distinct(F.array(*[f(x).cast("long") for x in at for f in (F.floor, F.ceil)]))
+
+
+def _pick(cells: DataFrame, keys: Sequence[str], ranks: Column) -> DataFrame:
+    """``keys`` + (total, lo, hi, ranks): the cells that hold some of ``ranks``, and which."""
+    whole = Window.partitionBy(*keys)
+    counted = cells.withColumn("total", F.sum("n").over(whole)).withColumn("upto", F.sum("n").over(whole.orderBy("cell")))
+    inside = F.filter(ranks, lambda k: (k >= F.col("upto") - F.col("n")) & (k < F.col("upto")))
+    return counted.withColumn("ranks", inside).where(F.size("ranks") > 0).select(*keys, "total", "lo", "hi", "ranks")
+
+
+def _wanted_cells(
+    t: DataFrame, search: dict[str, list[Bracket]], probs: Sequence[float], ranks: dict[str, list[int]]
+) -> dict[str, list]:
+    """Cells of the wanted ranks: all that ``probs`` need in the first pass, ``ranks`` later."""
     cells = []
     for i, (c, brackets) in enumerate(search.items()):
         v = F.col(c)
         cell = _cell(v, brackets) if brackets else _log_cell(v)
         cells.append(F.struct(F.lit(i).alias("c"), cell.alias("cell"), v.alias("v")))
-    rows = (
+    counts = (
         t.select(F.inline(F.array(*cells)))
         .where(F.col("v").isNotNull())
         .groupBy("c", "cell")
         .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
-        .collect()
     )
-    out: dict[str, list] = {c: [] for c in search}
     names = list(search)
-    for r in sorted(rows, key=lambda r: r["cell"]):
+    if ranks:
+        known = [F.array(*[F.lit(k).cast("long") for k in ranks[c]]) for c in names]
+        wanted = F.get(F.array(*known), F.col("c"))
+    else:
+        wanted = _ranks(probs, F.col("total"))
+    out: dict[str, list] = {c: [] for c in search}
+    for r in _pick(counts, ["c"], wanted).collect():
         out[names[r["c"]]].append(r)
     return out
 
 
 def fit_quantiles(
-    t: DataFrame,
-    cols: Iterable[str],
-    probs: Sequence[float],
-    exact: bool = True,
-    small_rows: int = SMALL_ROWS,
+    t: DataFrame, cols: Iterable[str], probs: Sequence[float], exact: bool = True
 ) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles of each column, nulls and NaN left out.
 
@@ -140,13 +155,9 @@ def fit_quantiles(
     """
     cols, probs = list(cols), [float(p) for p in probs]
     t = t.select(*[nan_to_null(F.col(c).cast("double")).alias(c) for c in cols])
-    if not exact:
-        how = [F.percentile_approx(c, probs, SKETCH) for c in cols]
-    elif small_rows and t.count() <= small_rows:
-        how = [F.percentile(c, probs) for c in cols]
-    else:
+    if exact:
         return _search(t, cols, probs)
-    row = t.agg(*how).first()
+    row = t.agg(*[F.percentile_approx(c, probs, SKETCH) for c in cols]).first()
     return {c: row[i] or [None] * len(probs) for i, c in enumerate(cols)}
 
 
@@ -154,24 +165,18 @@ def _search(t: DataFrame, cols: list[str], probs: list[float]) -> dict[str, list
     size: dict[str, int] = {}
     at: dict[str, dict[int, float]] = {c: {} for c in cols}
     search: dict[str, list[Bracket]] = {c: [] for c in cols}
+    ranks: dict[str, list[int]] = {}
     while search:
-        narrower = {}
-        for c, cells in _count_cells(t, search).items():
-            ends = list(accumulate(r["n"] for r in cells))
-            if not ends:
-                continue
-            size.setdefault(c, ends[-1])
-            ranks = {f(p * (size[c] - 1)) for p in probs for f in (floor, ceil)}
-            again = set()
-            for k in ranks - at[c].keys():
-                r = cells[bisect_right(ends, k)]
+        narrower, left = {}, {}
+        for c, cells in _wanted_cells(t, search, probs, ranks).items():
+            for r in cells:
+                size.setdefault(c, r["total"])
                 if r["lo"] == r["hi"]:
-                    at[c][k] = r["lo"]
+                    at[c] |= dict.fromkeys(r["ranks"], r["lo"])
                 else:
-                    again.add((r["lo"], r["hi"]))
-            if again:
-                narrower[c] = _disjoint(list(again))
-        search = narrower
+                    narrower.setdefault(c, []).append((r["lo"], r["hi"]))
+                    left.setdefault(c, []).extend(r["ranks"])
+        search, ranks = {c: _disjoint(b) for c, b in narrower.items()}, left
 
     return {
         c: [_interpolate(at[c], p * (size[c] - 1)) if c in size else None for p in probs] for c in cols
@@ -183,22 +188,47 @@ def _interpolate(at: dict[int, float], pos: float) -> float:
     return lo + (hi - lo) * (pos - floor(pos))
 
 
-def fit_quantiles_by(
-    t: DataFrame, col: str, by: str, probs: Sequence[float], exact: bool = True
-) -> dict[object, list[float | None]]:
-    """Quantiles of one column for each value of a coded column such as the payment type.
+def quantiles_by(t: DataFrame, col: str, by: str, probs: Sequence[float]) -> DataFrame:
+    """``by`` + quantiles: an array with the quantiles of ``col`` in every group, nulls of ``by`` a group.
 
-    Meant for columns with few codes; a column with more than ``MAX_GROUPS`` is refused.
+    Groups without a value are left out. The brackets of the search are a table per group that is joined to
+    the rows, so there may be any number of groups.
     """
-    codes = [r[0] for r in t.select(by).distinct().limit(MAX_GROUPS + 1).collect()]
-    if len(codes) > MAX_GROUPS:
-        raise ValueError(f"{by} has more than {MAX_GROUPS} values; it is not a coded column")
-    names = {f"_g{i}": code for i, code in enumerate(codes)}
-    split = t.select(
-        *[F.when(F.col(by).eqNullSafe(F.lit(code)), F.col(col)).alias(n) for n, code in names.items()]
-    )
-    found = fit_quantiles(split, names, probs, exact)
-    return {names[n]: q for n, q in found.items()}
+    probs = [float(p) for p in probs]
+    rows = t.select(F.col(by).alias("g"), nan_to_null(F.col(col).cast("double")).alias("v")).where("v is not null")
+    kind = t.select(by).schema[0].dataType.simpleString()
+    found = t.sparkSession.createDataFrame([], f"g {kind}, total long, k long, value double")
+    celled, keys, ranks = rows.withColumn("cell", _log_cell(F.col("v"))), ["g"], _ranks(probs, F.col("total"))
+    while True:
+        counts = celled.groupBy(*keys, "cell").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+        hits = settle(_pick(counts, keys, ranks), "quantile-cells")
+        done = hits.where("lo = hi").select("g", "total", F.explode("ranks").alias("k"), F.col("lo").alias("value"))
+        found = found.union(done)
+        open_ = hits.where("lo < hi")
+        if open_.isEmpty():
+            break
+        left = open_.groupBy("g").agg(
+            F.array_sort(F.collect_set(F.struct("lo", "hi"))).alias("brackets"), F.flatten(F.collect_list("ranks")).alias("todo")
+        )
+        left = settle(left.withColumnRenamed("g", "_g"), "quantile-brackets")
+        # Between two brackets is one cell; a bracket is split into CELLS.
+        below = F.filter("brackets", lambda x: x["lo"] <= F.col("v"))
+        last = F.get(below, F.size(below) - 1)
+        share = (F.col("v") - last["lo"]) / (last["hi"] - last["lo"])
+        inside = F.least(F.floor(share * (CELLS - 1)).cast("int"), F.lit(CELLS - 1))
+        cell = F.size(below) * (CELLS + 1) + F.when(F.col("v") <= last["hi"], inside - CELLS).otherwise(0)
+        celled = rows.join(left, F.col("g").eqNullSafe(F.col("_g"))).select("g", "todo", "v", cell.alias("cell"))
+        keys, ranks = ["g", "todo"], F.col("todo")
+    of = found.groupBy("g").agg(F.first("total").alias("total"), F.map_from_entries(F.collect_list(F.struct("k", "value"))).alias("at"))
+
+    def at(p: float, f: Callable[[Column], Column]) -> Column:
+        return F.element_at("at", f(F.lit(p) * (F.col("total") - 1)).cast("long"))
+
+    def one(p: float) -> Column:
+        place = F.lit(p) * (F.col("total") - 1)
+        return at(p, F.floor) + (at(p, F.ceil) - at(p, F.floor)) * (place - F.floor(place))
+
+    return of.select(F.col("g").alias(by), F.array(*[one(p) for p in probs]).alias("quantiles"))
 
 
 def quantiles(

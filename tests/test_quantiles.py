@@ -13,7 +13,7 @@ PROBS = (0.0, 0.01, 0.1, 0.25, 0.5, 0.75, 0.9, 0.99, 1.0)
 
 
 def both(t, cols, probs=PROBS):
-    found = Q.fit_quantiles(t, cols, probs, small_rows=0)
+    found = Q.fit_quantiles(t, cols, probs)
     want = t.agg(*[F.percentile(c, list(probs)).alias(c) for c in cols]).first()
     for c in cols:
         got = found[c]
@@ -62,14 +62,12 @@ def test_empty_and_all_null(spark):
     empty = spark.createDataFrame([], "x double")
     nulls = spark.createDataFrame([(None,)], "x double")
     for t in (empty, nulls):
-        for small in (0, 1000):
-            assert Q.fit_quantiles(t, ["x"], (0.5,), small_rows=small) == {"x": [None]}
+        assert Q.fit_quantiles(t, ["x"], (0.5,)) == {"x": [None]}
 
 
 def test_nan_is_left_out(spark):
     t = spark.createDataFrame([(math.nan,), (1.0,), (3.0,), (None,)], "x double")
-    for small in (0, 1000):
-        assert Q.fit_quantiles(t, ["x"], (0.5, 1.0), small_rows=small) == {"x": [2.0, 3.0]}
+    assert Q.fit_quantiles(t, ["x"], (0.5, 1.0)) == {"x": [2.0, 3.0]}
 
 
 def test_sketch_is_close(sample):
@@ -78,12 +76,26 @@ def test_sketch_is_close(sample):
     assert rough == pytest.approx(exact, rel=0.01)
 
 
-def test_by_code_and_too_many_codes(spark):
-    t = spark.createDataFrame([(1, 2.0), (1, 4.0), (2, 5.0), (None, 6.0)], "k int, x double")
-    assert Q.fit_quantiles_by(t, "x", "k", (0.5,)) == {1: [3.0], 2: [5.0], None: [6.0]}
-    many = spark.range(Q.MAX_GROUPS + 5).select(F.col("id").alias("k"), F.lit(1.0).alias("x"))
-    with pytest.raises(ValueError):
-        Q.fit_quantiles_by(many, "x", "k", (0.5,))
+def test_by_group(spark):
+    t = spark.createDataFrame([(1, 2.0), (1, 4.0), (2, 5.0), (None, 6.0), (3, None)], "k int, x double")
+    assert sorted(rows(Q.quantiles_by(t, "x", "k", (0.5,))), key=str) == [(1, [3.0]), (2, [5.0]), (None, [6.0])]
+    assert Q.quantiles_by(t.limit(0), "x", "k", (0.5,)).count() == 0
+
+
+def test_many_groups_and_a_hot_one(spark):
+    rng = random.Random(3)
+    data = [(i % 1500, rng.gauss(0, 10)) for i in range(6000)] + [(7, math.exp(rng.uniform(-9, 9))) for _ in range(3000)]
+    t = spark.createDataFrame(data, "k int, x double")
+    got = dict(rows(Q.quantiles_by(t, "x", "k", PROBS)))
+    want = dict(rows(t.groupBy("k").agg(F.percentile("x", list(PROBS)))))
+    assert got.keys() == want.keys()
+    assert all(got[k] == pytest.approx(want[k], rel=1e-12) for k in want)
+
+
+def test_the_driver_sees_wanted_cells_only(spark):
+    t = spark.range(5000).select(F.sin("id").alias("x"), F.exp(F.cos("id")).alias("y"))
+    first = Q._wanted_cells(t, {"x": [], "y": []}, (0.1, 0.5), {})
+    assert all(1 <= len(cells) <= 4 for cells in first.values())
 
 
 def test_mode_takes_the_smallest_of_a_tie(spark):
