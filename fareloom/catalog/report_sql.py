@@ -97,7 +97,9 @@ SQL: dict[str, str] = {}
 
 # -- sources --------------------------------------------------------------------------
 
-SQL["scan_trips"] = f"{TRIPS} SELECT * FROM trips WHERE trip_distance > 0"
+SQL["scan_trips"] = f"{TRIPS} SELECT * FROM trips"
+
+SQL["scan_trips_where"] = f"{TRIPS} SELECT * FROM trips WHERE trip_distance > 0"
 
 SQL["scan_csv"] = f"""{TRIPS}
 SELECT VendorID, payment_type, store_and_fwd_flag, count(*) AS trips,

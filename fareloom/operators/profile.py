@@ -429,11 +429,16 @@ def feature_profile(t: DataFrame, groups: dict[str, list[str]] | None = None) ->
 
 
 def distinct_counts(t: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """(column, distinct): exact count of present values, numbers compared as numbers."""
+    """(column, distinct): exact count of present values, numbers compared as numbers.
+
+    Integers are compared as integers, since above 2^53 several of them are one double.
+    """
     text = {f.name for f in t.schema.fields if isinstance(f.dataType, (T.StringType, T.BooleanType))}
+    whole = {f.name for f in t.schema.fields if isinstance(f.dataType, T.IntegralType)}
     out = None
     for kind, part in (
-        ("double", [c for c in cols if c not in text]),
+        ("double", [c for c in cols if c not in text | whole]),
+        ("decimal(20,0)", [c for c in cols if c in whole]),
         ("string", [c for c in cols if c in text]),
     ):
         if part:

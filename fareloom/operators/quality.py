@@ -201,12 +201,16 @@ def quality_issues(t: DataFrame, long_minutes: float = 300, top_speed: float = 8
 
 
 def target_filter(t: DataFrame, target: str = S.TARGET) -> DataFrame:
-    """Rows with a non-negative target; a missing target is dropped as well."""
-    return t.where(F.col(target) >= 0)
+    """Rows with a non-negative target; a missing target, NaN included, is dropped as well."""
+    return t.where(_usable_target(target))
+
+
+def _usable_target(target: str) -> Column:
+    return (F.col(target) >= 0) & ~F.isnan(F.col(target).cast("double"))
 
 
 def target_filter_report(t: DataFrame, target: str = S.TARGET) -> DataFrame:
-    kept = F.count_if(F.col(target) >= 0)
+    kept = F.count_if(_usable_target(target))
     return t.agg(
         n_rows().alias("rows"),
         kept.alias("kept"),

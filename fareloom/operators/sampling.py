@@ -7,9 +7,12 @@ different partitioning gives the same rows.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fareloom import schema as S
 from fareloom.functions.exprs import hash_below, hash_bucket, hash_key
@@ -20,6 +23,12 @@ PREFIX = 3  # hex digits per histogram: 4096 counts
 GROUP_ROWS = 200_000
 
 
+def row_key(t: DataFrame, key: str) -> Column:
+    """The key as text. Rows without one are told apart by all they hold, so that they spread."""
+    plain = [f.name for f in t.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    return F.coalesce(F.col(key).cast("string"), F.hex(F.xxhash64(*plain)))
+
+
 def _prefix_counts(rows: DataFrame, key: str, start: int) -> list[tuple[str, int]]:
     head = F.substring(key, start, PREFIX).alias("head")
     return sorted((r["head"], r["n"]) for r in rows.groupBy(head).agg(n_rows().alias("n")).collect())
@@ -33,7 +42,7 @@ def sample_n(t: DataFrame, n: int, key: str, seed: int | str = 42) -> DataFrame:
     that prefix are ordered. The key should be unique.
     """
     h = "_h"
-    keyed = t.withColumn(h, hash_key(key, seed))
+    keyed = t.withColumn(h, hash_key(row_key(t, key), seed))
     inside, prefix, left = keyed, "", n
     while True:
         counts = _prefix_counts(inside.select(h), h, len(prefix) + 1)
@@ -49,7 +58,7 @@ def sample_n(t: DataFrame, n: int, key: str, seed: int | str = 42) -> DataFrame:
         if c <= GROUP_ROWS or len(prefix) + PREFIX > 32:
             break
     whole = keyed.where(F.col(h) < F.lit(prefix))
-    return whole.unionByName(inside.orderBy(h, key).limit(left)).drop(h)
+    return whole.unionByName(inside.orderBy(h).limit(left)).drop(h)
 
 
 def row_positions(
@@ -64,7 +73,7 @@ def row_positions(
     """
     h, head = "_h", "_head"
     digits = prefix_digits(t)
-    keyed = t.withColumn(h, hash_key(key, seed)).withColumn(head, F.substring(h, 1, digits))
+    keyed = t.withColumn(h, hash_key(row_key(t, key), seed)).withColumn(head, F.substring(h, 1, digits))
     sizes = keyed.groupBy(*by, head).agg(n_rows().alias("_n"))
     sizes = sizes.withColumn("_coarse", F.substring(head, 1, max(digits - PREFIX, 0)))
     above = sizes.groupBy(*by, "_coarse").agg(F.sum("_n").alias("_m"))
@@ -73,15 +82,18 @@ def row_positions(
         earlier = Window.partitionBy(*by, *parts).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
         return F.coalesce(F.sum(n).over(earlier), F.lit(0))
 
+    def same(*cols: str) -> Column:
+        return reduce(and_, [F.col(c).eqNullSafe(F.col(f"_b_{c}")) for c in cols])  # a missing value is a group
+
     above = above.withColumn("_above", before("_m", "_coarse")).drop("_m")
     offsets = (
         sizes.withColumn("_inner", before("_n", head, "_coarse"))
-        .join(above, [*by, "_coarse"])
-        .select(*by, head, (F.col("_above") + F.col("_inner")).alias("_offset"))
+        .join(above.select(*[F.col(c).alias(f"_b_{c}") for c in (*by, "_coarse")], "_above"), same(*by, "_coarse"))
+        .select(*[F.col(c).alias(f"_b_{c}") for c in (*by, head)], (F.col("_above") + F.col("_inner")).alias("_offset"))
     )
-    local = F.row_number().over(Window.partitionBy(*by, head).orderBy(h, key))
+    local = F.row_number().over(Window.partitionBy(*by, head).orderBy(h))
     return (
-        keyed.join(offsets, [*by, head])
+        keyed.join(offsets, same(*by, head))
         .withColumn(name, (F.col("_offset") + local).cast("bigint"))
         .drop(h, head, "_offset")
         .select(*t.columns, name)
@@ -98,29 +110,29 @@ def prefix_digits(t: DataFrame) -> int:
 
 def shuffle_order(t: DataFrame, key: str, seed: int | str = 47) -> DataFrame:
     """All rows in a random but repeatable order: a range-partitioned sort by row hash."""
-    return t.orderBy(hash_key(key, seed), key)
+    return t.orderBy(hash_key(row_key(t, key), seed), key)
 
 
 def train_test_split(
     t: DataFrame, key: str, test_share: float = 0.2, seed: int | str = 42, name: str = "is_test"
 ) -> DataFrame:
     """Mark about ``test_share`` of the rows as test rows, by row hash: no shuffle."""
-    return t.withColumn(name, hash_below(key, seed, test_share))
+    return t.withColumn(name, hash_below(row_key(t, key), seed, test_share))
 
 
 def three_way_split(t: DataFrame, key: str, share: float = 0.2, seed: int | str = 42) -> DataFrame:
     """``train``, ``validation`` or ``test``: the training part is itself split again."""
     return t.withColumn(
         "split",
-        F.when(hash_below(key, seed, share), "test")
-        .when(hash_below(key, f"{seed}/validation", share), "validation")
+        F.when(hash_below(row_key(t, key), seed, share), "test")
+        .when(hash_below(row_key(t, key), f"{seed}/validation", share), "validation")
         .otherwise("train"),
     )
 
 
 def kfold(t: DataFrame, key: str, k: int = 5, seed: int | str = 42, name: str = "fold") -> DataFrame:
     """Fold number in ``[0, k)`` by row hash; folds differ in size by chance only."""
-    return t.withColumn(name, hash_bucket(key, seed, k))
+    return t.withColumn(name, hash_bucket(row_key(t, key), seed, k))
 
 
 def bin_edges(t: DataFrame, target: str = S.TARGET, bins: int = 10, exact: bool = True) -> list[float]:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from itertools import combinations
 from math import exp, isfinite, lgamma, log, log1p
 
 from pyspark.ml.feature import VectorAssembler
@@ -30,19 +29,18 @@ def safe_corr(x: Column, y: Column) -> Column:
 def corr_matrix(t: DataFrame, cols: Sequence[str] = tuple(S.CORRELATION_COLUMNS)) -> DataFrame:
     """(left, right, correlation) for every pair of columns, each with itself included.
 
-    All pairs are aggregates of one pass over the table.
+    One pass: the columns as rows on the left, an aggregate per column on the right, so the plan
+    grows with the number of columns, not of pairs.
     """
-    pairs = list(combinations(cols, 2))
-    own = [F.when(F.max(c) > F.min(c), 1.0).alias(f"s{i}") for i, c in enumerate(cols)]
-    aggs = [safe_corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"p{i}") for i, (a, b) in enumerate(pairs)]
-    rows = [(c, c, f"s{i}") for i, c in enumerate(cols)]
-    for i, (a, b) in enumerate(pairs):
-        rows += [(a, b, f"p{i}"), (b, a, f"p{i}")]
+    keep = [F.col(c).cast("double").alias(f"_y{j}") for j, c in enumerate(cols)]
+    wide = t.select(*keep, *[F.col(c).cast("double").alias(c) for c in cols])
+    long = wide.unpivot([f"_y{j}" for j in range(len(cols))], list(cols), "left", "x")
+    per_left = long.groupBy("left").agg(*[safe_corr(F.col("x"), F.col(f"_y{j}")).alias(f"c{j}") for j in range(len(cols))])
     cells = [
-        F.struct(F.lit(a).alias("left"), F.lit(b).alias("right"), F.col(v).alias("correlation"))
-        for a, b, v in rows
+        F.struct("left", F.lit(c).alias("right"), F.when(F.col("left") == c, F.signum(f"c{j}")).otherwise(F.col(f"c{j}")).alias("correlation"))
+        for j, c in enumerate(cols)
     ]
-    return t.agg(*own, *aggs).select(F.inline(F.array(*cells)))
+    return per_left.select(F.inline(F.array(*cells)))
 
 
 def target_correlations(
@@ -86,23 +84,20 @@ def target_correlations(
 
 
 def chi2(t: DataFrame, a: Column, b: Column) -> DataFrame:
-    """Pearson statistic and degrees of freedom of two coded columns, from their counts."""
+    """Pearson statistic and degrees of freedom of two coded columns, from one scan for their counts."""
     counts = t.groupBy(a.alias("a"), b.alias("b")).agg(n_rows().alias("n")).where("a is not null and b is not null")
-    rows = counts.groupBy("a").agg(F.sum("n").alias("row_n"))
-    cols = counts.groupBy("b").agg(F.sum("n").alias("col_n"))
-    total = counts.agg(F.sum("n")).scalar()
+    sums = counts.withColumn("row_n", F.sum("n").over(Window.partitionBy("a"))).withColumn("col_n", F.sum("n").over(Window.partitionBy("b")))
     # sum over cells of (o - e)^2 / e  =  total * sum(o^2 / (row * col)) - total
     share = F.sum(F.col("n") * F.col("n") / (F.col("row_n") * F.col("col_n").cast("double")))
     return (
-        counts.join(rows, "a")
-        .join(cols, "b")
-        .agg(
+        sums.agg(
             share.alias("share"),
+            F.sum("n").alias("total"),
             F.count_distinct("a").alias("r"),
             F.count_distinct("b").alias("c"),
         )
         .select(
-            (total * F.col("share") - total).alias("statistic"),
+            (F.col("total") * F.col("share") - F.col("total")).alias("statistic"),
             ((F.col("r") - 1) * (F.col("c") - 1)).alias("dof"),
         )
     )

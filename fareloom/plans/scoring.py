@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -37,13 +39,24 @@ def score_batch(
 
 
 def write_scored(t: DataFrame, model: PipelineModel, path: str, **kw) -> int:
-    """Score and write in one pass; fails if rows were lost or added on the way."""
+    """Score and write in one pass; fails if rows were lost or added on the way.
+
+    The rows are written beside ``path`` and take its place only when their number is right.
+    """
     before, after = Observation("read"), Observation("written")
     counted = t.observe(before, n_rows().alias("n"))
     scored = score_batch(counted, model, **kw).observe(after, n_rows().alias("n"))
-    scored.write.mode("overwrite").parquet(path)
+    beside = f"{path.rstrip('/')}-{uuid.uuid4().hex}"
+    scored.write.parquet(beside)
+    spark = t.sparkSession
+    new, old = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (beside, path))
+    files = old.getFileSystem(spark._jsc.hadoopConfiguration())
     if before.get["n"] != after.get["n"]:
+        files.delete(new, True)
         raise RowCountChanged(f"{before.get['n']} rows in, {after.get['n']} rows out")
+    files.delete(old, True)
+    if not files.rename(new, old):
+        raise OSError(f"{beside} could not take the place of {path}")
     return after.get["n"]
 
 
@@ -146,12 +159,17 @@ def resolve_version(versions: DataFrame, wanted: str = "latest") -> DataFrame:
     """Pick a model version out of (model, version, stage, ...) rows.
 
     ``latest`` is the highest number; ``production`` and ``staging`` the highest one in that
-    stage; anything else is an explicit number. No row means that there is none.
+    stage; a number is that version. Any other name, with or without @, is an alias such as
+    ``champion``: the highest version whose ``alias`` it is. No row means that there is none.
     """
     number = F.col("version").cast("int")
+    name = wanted.removeprefix("@")
     if wanted in ("production", "staging"):
         versions = versions.where(F.lower("stage") == wanted)
-    elif wanted != "latest":
+    elif wanted.isdecimal():
         versions = versions.where(number == int(wanted))
+    elif wanted != "latest":
+        alias = F.lower("alias") if "alias" in versions.columns else F.lower("stage")
+        versions = versions.where(alias == name.lower())
     pick = F.max_by(F.struct(*versions.columns), number)
     return versions.groupBy("model").agg(pick.alias("v")).select("v.*")

@@ -37,10 +37,13 @@ def request_schema(extra: tuple[T.StructField, ...] = ()) -> T.StructType:
 
 
 def read_requests(
-    spark: SparkSession, path: str, stream: bool = False, extra: tuple[T.StructField, ...] = ()
+    spark: SparkSession, path: str, stream: bool = False, extra: tuple[T.StructField, ...] = (), files_per_batch: int = 1000
 ) -> DataFrame:
-    """One request per JSON line; a line that does not parse is kept in ``_corrupt_record``."""
-    reader = spark.readStream if stream else spark.read
+    """One request per JSON line; a line that does not parse is kept in ``_corrupt_record``.
+
+    A stream takes up to ``files_per_batch`` files at a time, so that a backlog is not one huge batch.
+    """
+    reader = spark.readStream.option("maxFilesPerTrigger", files_per_batch) if stream else spark.read
     raw = (
         reader.schema(request_schema(extra))
         .option("mode", "PERMISSIVE")

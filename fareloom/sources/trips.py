@@ -27,17 +27,21 @@ def read_trips(
     schema: T.StructType | None = None,
     where: str | Column | None = None,
     columns: Iterable[str] | None = None,
+    bad_cells: str | None = None,
 ) -> DataFrame:
     """Read Parquet or CSV trips, chosen by suffix (a folder counts as Parquet).
 
+    CSV columns are found by their name in the header. A cell that is there but cannot be read as
+    its type is an error; with ``bad_cells`` it is null, and an array column of that name lists
+    the columns it happened in.
+
     ``where`` is applied to the stored columns, below the NaN clean-up, so it reaches the
     Parquet reader as a pushed filter and prunes partitions. A path that does not exist
     raises Spark's own error, which names it.
     """
     paths = [path] if isinstance(path, str) else list(path)
     if all(p.rstrip("/").lower().endswith((".csv", ".csv.gz")) for p in paths):
-        reader = spark.read.option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
-        t = reader.schema(schema or S.TRIP_SCHEMA).csv(paths)
+        t = typed_cells(spark.read.option("header", True).csv(paths), schema or S.TRIP_SCHEMA, bad_cells)
     else:
         reader = spark.read.schema(schema) if schema is not None else spark.read
         t = reader.parquet(*paths)
@@ -48,6 +52,27 @@ def read_trips(
     return normalise_missing(t)
 
 
+def typed_cells(text: DataFrame, schema: T.StructType, bad_cells: str | None = None) -> DataFrame:
+    """Text columns as the columns of ``schema``, by name; those that are absent are null."""
+    names = {c.lower(): c for c in text.columns}
+
+    def cell(f: T.StructField) -> tuple[Column, Column]:
+        raw = F.col(f"`{names[f.name.lower()]}`") if f.name.lower() in names else F.lit(None).cast("string")
+        value = F.trim(raw).try_cast(f.dataType)
+        return value, raw.isNotNull() & (F.trim(raw) != "") & value.isNull()
+
+    cells = {f.name: cell(f) for f in schema.fields}
+    if bad_cells:
+        failed = F.array_compact(F.array(*[F.when(bad, F.lit(c)) for c, (_, bad) in cells.items()]))
+        return text.select(*[v.alias(c) for c, (v, _) in cells.items()], failed.alias(bad_cells))
+
+    def strict(f: T.StructField) -> Column:
+        value, bad = cells[f.name]
+        return F.when(bad, F.raise_error(F.lit(f"a cell of {f.name} cannot be read as {f.dataType.simpleString()}")).cast(f.dataType)).otherwise(value)
+
+    return text.select(*[strict(f).alias(f.name) for f in schema.fields])
+
+
 def read_periods(spark: SparkSession, paths: dict[str, str | list[str]], **kw) -> DataFrame:
     """Several periods in one table, told apart by a ``period`` column."""
     return union_periods({name: read_trips(spark, p, **kw) for name, p in paths.items()})

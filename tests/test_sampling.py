@@ -79,3 +79,14 @@ def test_bins_are_closed_on_the_left(spark):
     t = spark.createDataFrame([(float(i),) for i in range(11)], "total_amount double")
     got = dict(rows(R.quantile_bins(t)))
     assert got == {float(i): min(i, 9) for i in range(11)}
+
+
+def test_rows_without_a_key_spread_and_missing_groups_stay(spark):
+    t = spark.range(1000).select(F.lit(None).cast("string").alias("k"), "id", F.when(F.col("id") % 5 > 0, F.col("id") % 5).alias("g"))
+    folds = {r["fold"]: r["n"] for r in R.kfold(t, "k").groupBy("fold").agg(F.count("*").alias("n")).collect()}
+    assert len(folds) == 5 and max(folds.values()) < 300
+    assert 100 < R.train_test_split(t, "k").where("is_test").count() < 300
+    placed = R.row_positions(t, "k", 1, by=("g",))
+    got = placed.groupBy("g").agg(F.count("*").alias("n"), F.max("position").alias("hi"), F.count_distinct("position").alias("d"))
+    assert sorted((r["n"], r["hi"], r["d"]) for r in got.collect()) == [(200, 200, 200)] * 5
+    assert R.sample_n(t, 37, "k").count() == 37

@@ -97,3 +97,21 @@ def test_requests_defaults_and_corrupt_lines(spark, tmp_path):
 def test_rows_from_literals(spark):
     t = J.rows_from_literals(spark, [(1, "Standard")], "code int, label string")
     assert rows(t) == [(1, "Standard")]
+
+
+def test_csv_is_read_by_name_and_bad_cells_are_told(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_text(
+        "tip_amount,fare_amount,tpep_pickup_datetime,more\n"
+        "1.5,20,2024-01-05T08:30:00,x\n"
+        ",7.25,2024-01-05 09:00:00,y\n"
+    )
+    got = IO.read_trips(spark, str(path))
+    assert got.schema == S.TRIP_SCHEMA
+    times = (dt.datetime(2024, 1, 5, 8, 30), dt.datetime(2024, 1, 5, 9))
+    assert rows(got.select("fare_amount", "tip_amount", S.PICKUP)) == [(20.0, 1.5, times[0]), (7.25, None, times[1])]
+    path.write_text("fare_amount,tip_amount\nabc,1\n3,\n")
+    with pytest.raises(Exception, match="fare_amount"):
+        IO.read_trips(spark, str(path)).collect()
+    told = IO.read_trips(spark, str(path), bad_cells="bad").select("fare_amount", "tip_amount", "bad")
+    assert rows(told) == [(None, 1.0, ["fare_amount"]), (3.0, None, [])]
