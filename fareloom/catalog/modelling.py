@@ -30,11 +30,17 @@ def new_columns(before, after):
     return after.select(KEY, *[c for c in after.columns if c not in old])
 
 
+_rows = {}
+
+
 def model_rows(spark, d):
-    """The feature set of the model with a test mark, written once for the passes of training."""
-    t = X.features_v1(trips(spark, d))
-    used = [KEY, S.TARGET, *S.MODEL_NUMERIC, *S.MODEL_CATEGORICAL]
-    return settle(R.train_test_split(t.select(*used), KEY), "model-rows")
+    """The feature set of the model with a test mark, written once per application and folder."""
+    at = (spark.sparkContext.applicationId, d)
+    if at not in _rows:
+        t = X.features_v1(trips(spark, d))
+        used = [KEY, S.TARGET, *S.MODEL_NUMERIC, *S.MODEL_CATEGORICAL]
+        _rows[at] = settle(R.train_test_split(t.select(*used), KEY), "model-rows")
+    return _rows[at]
 
 
 # -- features -------------------------------------------------------------------------

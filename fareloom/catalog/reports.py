@@ -28,14 +28,20 @@ def with_duration(spark, d):
     return X.with_duration(trips(spark, d))
 
 
+_analysis = {}
+
+
 def analysis_table(spark, d):
     """Every analysis column, frequencies and the filled passenger count included.
 
-    The feature columns are written once: the reports over them pass over the table more
-    than once and should not join and derive it again each time.
+    The feature columns are written once per application and folder: the reports over them pass
+    over the table more than once and should not join and derive it again each time.
     """
-    t = X.features_analysis(mode_fill(trips(spark, d)))
-    return settle(freq_encode(t), "analysis")
+    at = (spark.sparkContext.applicationId, d)
+    if at not in _analysis:
+        t = X.features_analysis(mode_fill(trips(spark, d)))
+        _analysis[at] = settle(freq_encode(t), "analysis")
+    return _analysis[at]
 
 
 # -- sources --------------------------------------------------------------------------

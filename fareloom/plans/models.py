@@ -119,20 +119,13 @@ def log_forest(**params) -> LogTarget:
     return LogTarget(forest, **params)
 
 
-def estimators(scale: str = "full") -> dict[str, Estimator]:
-    """The models compared by name. ``scale='small'`` keeps a comparison short."""
-    if scale == "full":
-        return {
-            "linear": linear(),
-            "random_forest": forest(),
-            "log_random_forest": log_forest(),
-            "boosted_trees": gbt(),
-        }
+def estimators() -> dict[str, Estimator]:
+    """The models compared by name."""
     return {
         "linear": linear(),
-        "random_forest": forest(trees=5, depth=5),
-        "log_random_forest": log_forest(trees=5, depth=5),
-        "boosted_trees": gbt(trees=5, depth=4, rate=0.3),
+        "random_forest": forest(),
+        "log_random_forest": log_forest(),
+        "boosted_trees": gbt(),
     }
 
 
