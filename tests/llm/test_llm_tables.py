@@ -110,6 +110,21 @@ def test_neighbours_reach_the_recall(spark):
             assert r.score == pytest.approx(float(v[q].astype(np.float64) @ v[r.vec_id].astype(np.float64)), abs=1e-12)
 
 
+def test_search_goes_on_until_nothing_is_left_to_open(spark):
+    nodes = spark.createDataFrame([(i, [1.0 + i, 1.0]) for i in range(14)], "id long, vec array<float>")
+    edges = spark.createDataFrame([(i, i + 1, float(i)) for i in range(13)], "id long, nbr long, score float")
+    queries = spark.createDataFrame([(0,)], "query long")
+    found = neighbours.search(nodes, edges, queries, 1, pool=3).collect()
+    assert {r.id for r in found} == {11, 12, 13}  # the way there opens one node more in every step
+
+
+def test_rounds_end_when_nothing_is_replaced(spark, monkeypatch):
+    v, rounds = vectors(30, 8), []
+    monkeypatch.setattr(neighbours, "release", lambda spark: rounds.append(1))
+    nodes = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "id long, vec array<float>")
+    assert neighbours.graph(nodes, degree=32).count() == 30 * 29 and len(rounds) == 1  # the start has all pairs
+
+
 def test_equal_vectors_go_by_id_and_bad_ones_take_no_part(spark):
     v = vectors(12, 4)
     v = np.concatenate((v, np.repeat(v[:1], 60, axis=0)))
