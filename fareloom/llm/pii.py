@@ -7,14 +7,14 @@ the segment meets its neighbours) and a dynamic program over segments of at most
 atoms chooses boundaries and kinds together.
 
 An atom is a run of letters, a run of digits or a single other character. A candidate holds an @ or
-the word "at", or no letter and seven digits or four digits and three dots; a text without a digit
-and without an @ is not looked into, and around the others only the surroundings of such characters are looked at. Elsewhere
-every atom is outside any entity, so the program over these regions is the one over the text.
+the word "at", or no letter and seven digits or four digits and three dots. So only the surroundings of
+digits, @ and "at" are looked at, as far as a candidate with one of them and the features of it can reach.
+Elsewhere every atom is outside any entity, so the program over these regions is the one over the text.
 
 The weights are fitted on the driver by stochastic gradient ascent of the likelihood, from at
 most ``regions`` (1,200) regions of at most ``REGION_CHARS`` characters, the first in the order of
 a seeded hash. The rules label them; every entity is also shown in forms that the rules miss,
-with the same label. Finding is a pass without shuffles over every text whole.
+with the same label, and every region with an "at" that belongs to none. Finding is a pass without shuffles over every text whole.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from __future__ import annotations
 import math
 import random
 import re
+from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -42,11 +43,14 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 LONGEST = 16
 REGIONS = 1200
 REGION_CHARS = 300
-#: Characters on either side of a digit or @ that belong to its region.
-AROUND = 40
-_HINT = re.compile(r"[0-9@]")
+#: Atoms before and after a hint that belong to its region: a candidate's other atoms, the words that its
+#: features look at before it, and the two characters after it.
+BEFORE, AFTER = LONGEST - 1 + 3, LONGEST - 1 + 2
+#: What every candidate holds one of.
+_HINT = re.compile(r"[0-9]+|@|(?<![^\W\d_])[Aa][Tt](?![^\W\d_])")
 _ATOM = re.compile(r"[^\W\d_]+|[0-9]+|\S")
 _DIGIT = re.compile(r"[0-9]")
+_NUMBER = re.compile(r"[._-]?[0-9]+")
 
 Span = tuple[str, int, int]
 
@@ -88,15 +92,21 @@ def base_spans(text: str) -> list[Span]:
 
 
 def regions(text: str) -> Iterator[tuple[int, int]]:
-    """Stretches of the text around its digits and @; those that touch are one."""
+    """Stretches of the text around its digits, @ and the word "at"; those that touch are one."""
+    if not _HINT.search(text):
+        return
+    atoms = [m.span() for m in _ATOM.finditer(text)]
+    starts = [a for a, _ in atoms]
     begin, end = 0, None
     for m in _HINT.finditer(text):
-        if end is not None and m.start() - AROUND > end:
+        n = bisect_left(starts, m.start())
+        first = starts[n - BEFORE] if n > BEFORE else 0
+        if end is not None and first > end:
             yield begin, end
             end = None
         if end is None:
-            begin = max(0, m.start() - AROUND)
-        end = min(len(text), m.start() + AROUND)
+            begin = first
+        end = atoms[n + AFTER][1] if n + AFTER < len(atoms) else len(text)
     if end is not None:
         yield begin, end
 
@@ -249,7 +259,9 @@ class SemiMarkov:
 def disguised(kind: str, text: str, rng: random.Random) -> str:
     """A form of an entity that the rules do not know."""
     if kind == "email":
-        name, _, domain = text.partition("@")
+        name, _, domain = rng.choice([text, _NUMBER.sub("", text)]).partition("@")  # often without digits
+        if not name or not domain.strip("."):
+            name, _, domain = text.partition("@")
         return rng.choice([f"{name} at {domain}", f"{name} [at] {domain}", f"{name}(at){domain}", f"{name} @ {domain}"])
     if kind == "ip":
         return rng.choice([text.replace(".", "[.]"), text.replace(".", " . ")])
@@ -264,7 +276,7 @@ def disguised(kind: str, text: str, rng: random.Random) -> str:
 
 
 def examples(texts: list[str], seed: int = 5) -> list[tuple[str, list[Span]]]:
-    """Each text with the rules' labels, and with each of its entities disguised in turn."""
+    """Each text with the rules' labels, with each of its entities disguised in turn, and with a plain "at" put in."""
     rng, out = random.Random(seed), []
     for text in texts:
         gold = base_spans(text)
@@ -276,6 +288,10 @@ def examples(texts: list[str], seed: int = 5) -> list[tuple[str, list[Span]]]:
             shift = len(new) - (end - start)
             moved = [*gold[:n], (kind, start, start + len(new)), *((k, s + shift, e + shift) for k, s, e in gold[n + 1 :])]
             out.append((text[:start] + new + text[end:], moved))
+        blanks = [p for p, c in enumerate(text) if c == " " and not any(s <= p <= e for _, s, e in gold)]
+        if blanks:
+            p = rng.choice(blanks)
+            out.append((text[:p] + " at" + text[p:], [(k, s + 3 * (s > p), e + 3 * (s > p)) for k, s, e in gold]))
     return out
 
 

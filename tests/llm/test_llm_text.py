@@ -141,6 +141,20 @@ def test_pii_learns_to_find_what_the_rules_miss(table, awkward):
     assert sum(not s.base for i, _ in rows for s in found[i]) <= 3
 
 
+def test_pii_finds_addresses_without_digits_or_signs(table):
+    model = pii.SemiMarkov(pii.learn(table(pii_rows())))
+    odd = [(900, "write to jane.doe at example.org please"), (901, "mail jane(AT)mail.example.com soon"), (902, "look at the card and reach the server")]
+    found = {r.doc_id: [(s.kind, odd[r.doc_id - 900][1][s.start : s.end]) for s in r.spans] for r in pii.find(table(odd), model.weights).collect()}
+    assert found[900] == [("email", "jane.doe at example.org")] and found[901] == [("email", "jane(AT)mail.example.com")]
+    assert found[902] == []
+    rng = random.Random(9)
+    tokens = "at At cat a.b jane doe example.org . , ( ) [ ] @ 212 5550147 + - _at_ 漢at at1".split() + ["\n", " "] + ["of", "and"] * 30
+    for _ in range(300):
+        t = rng.choice(("", " ")).join(rng.choice(tokens) for _ in range(rng.randint(1, 150)))
+        some = [s for a, b in pii.regions(t) for s in [(k, x + a, y + a) for k, x, y in model.best(pii.Lattice(t[a:b]))]]
+        assert some == model.best(pii.Lattice(t)), t
+
+
 def test_pii_on_awkward_tables(table, awkward):
     got = pii.find(table(awkward), {}).collect()
     assert Counter(r.doc_id for r in got) == Counter(i for i, _ in awkward)
