@@ -12,7 +12,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.llm import binary_records, bpe, exact_dedup, language_id, mixing, neighbours, pii, secret_scan, simhash, substring_dedup
+from fareloom.llm import (
+    binary_records,
+    bpe,
+    exact_dedup,
+    hard_negatives,
+    language_id,
+    mixing,
+    neighbours,
+    pii,
+    prefix_trie,
+    quality,
+    secret_scan,
+    simhash,
+    substring_dedup,
+)
 from fareloom.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -180,3 +194,83 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_nearest_neighbours")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
+OP11_SQL = r"""
+WITH crc AS (
+  SELECT list(v ORDER BY i) AS t
+  FROM (SELECT i, list_reduce(range(8), lambda a, x: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, i) AS v
+        FROM range(256) r(i))),
+o AS (
+  SELECT conv_id AS c, turn, coalesce(text, '') AS text,
+         sha256(concat(length(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, ''))) AS d
+  FROM conversations WHERE conv_id IS NOT NULL),
+t AS (
+  SELECT c, d, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS w,
+         row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, d) AS r
+  FROM o),
+k AS (
+  SELECT c, c - c % 20 AS b,
+         xor(list_reduce(list_transform(string_split(c::VARCHAR, ''), lambda x: ascii(x)::BIGINT),
+                         lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1]), 4294967295), 4294967295) % 4 AS h
+  FROM (SELECT DISTINCT c FROM t), crc),
+u AS (
+  SELECT k.c, 0 AS part, t.r, t.d, t.w FROM k JOIN t ON t.c = k.b WHERE t.r <= h
+  UNION ALL SELECT k.c, 1, t.r, t.d, t.w FROM k JOIN t ON t.c = k.c WHERE t.r > h),
+s AS (SELECT c, list(d ORDER BY part, r) AS ds, list(w ORDER BY part, r) AS ws FROM u GROUP BY c),
+p AS (
+  SELECT c, ds, ws, unnest(range(len(ds) + 1)) AS depth
+  FROM (SELECT k.c, coalesce(ds, []) AS ds, coalesce(ws, []) AS ws FROM k LEFT JOIN s USING (c))),
+n AS (
+  SELECT ds[1:depth] AS key, depth, min(c) AS conv_id, count(*) AS n_convs, any_value(coalesce(ws[depth], 0)) AS w,
+         count(*) FILTER (len(ds) = depth) AS n_ends, string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (len(ds) = depth) AS ends
+  FROM p GROUP BY ALL),
+e AS (SELECT key, depth, unnest(range(depth + 1)) AS up, n_ends = n_convs AS leaf, (n_convs - 1) * w AS saved FROM n),
+g AS (
+  SELECT key[1:up] AS key, up AS depth, count(*) FILTER (up = depth - 1) AS n_children, count(*) FILTER (leaf) AS n_leaves,
+         sum(saved)::BIGINT AS saved_tokens
+  FROM e GROUP BY key[1:up], up)
+SELECT n.conv_id, n.depth, m.conv_id AS parent_conv_id, n.n_convs, n_children, n_leaves, saved_tokens,
+       sha256(coalesce(n.ends, '')) AS ends_sha256
+FROM n JOIN g USING (key, depth) LEFT JOIN n m ON m.depth = n.depth - 1 AND m.key = n.key[1:n.depth - 1]
+"""
+
+
+@query("op11_prefix_trie", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranked = prefix_trie.conversation_turns(read(spark, sf_dir, "conversations"))
+    head = F.crc32(F.col("conv").cast("string").cast("binary")) % 4
+    return prefix_trie.trie(prefix_trie.spliced(ranked, F.col("conv") - F.col("conv") % 20, head, 3))
+
+
+@query("op12_quality_classifier")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, kept = read(spark, sf_dir, "documents"), quality.held_out("doc_id")
+    model = quality.learn(docs.where(~kept), read(spark, sf_dir, "labels").where(~kept))
+    found = quality.score(docs, model)
+    return found.select("doc_id", kept.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+OP13_SQL = """
+WITH e AS (
+  SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS l,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.id AS a, b.id AS b, a.l = b.l AS same, list_dot_product(a.v, b.v)::BIGINT AS s
+  FROM e a JOIN e b ON a.id % 50 = 0 AND a.id <> b.id),
+p AS (SELECT a, b, s FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY s DESC, b) <= 5)
+SELECT p.a AS anchor_id, p.b AS positive_id, (row_number() OVER near)::INTEGER AS rank, n.b AS negative_id,
+       p.s AS positive_score, n.s AS negative_score
+FROM p JOIN s n ON n.a = p.a AND NOT n.same AND 50 * p.s <= 100 * n.s AND 100 * n.s <= 95 * p.s
+WINDOW near AS (PARTITION BY p.a, p.b ORDER BY n.s DESC, n.b)
+QUALIFY row_number() OVER near <= 3
+"""
+
+
+@query("op13_hard_negatives", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", moved), F.col("vec_id") % 50 == 0)
