@@ -23,9 +23,9 @@ import math
 import random
 import re
 from bisect import bisect_left
-from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -111,90 +111,151 @@ def regions(text: str) -> Iterator[tuple[int, int]]:
         yield begin, end
 
 
+#: What a segment's inside looks like: digits, marks, letter runs (6 at most), atoms, lengths of digit groups, first atom,
+#: checksum, whether its groups are bytes, words "at" and signs @, length of the last atom, whether it holds a blank, and an @.
+Shape = tuple
+
+
+def shape_features(shape: Shape) -> list[str]:
+    d, marks, letters, atoms, groups, first, checked, small, ats, last, spaced, sign = shape
+    out = ["bias", f"digits={d}", f"marks={marks}", f"letters={letters}", f"atoms={atoms}"]
+    out += [f"groups={'-'.join(map(str, groups))}", f"first={first}"]
+    if checked is not None:
+        out.append(f"luhn={checked}")
+    if small is not None:
+        out.append(f"bytes={small},{marks}")
+    if letters:
+        out += [f"ats={ats},last={last}", f"spaced={spaced},{sign}"]
+    return out
+
+
 class Lattice:
-    """Atoms of a region and its candidate segments with their features.
+    """Atoms of a region and its candidate segments.
 
-    ``closed`` spans are not looked into.
+    The features of a segment are those of its shape, of what is before its first and of what is after its last
+    atom, so each part is known once for all segments that share it. ``closed`` spans are not looked into.
     """
 
     def __init__(self, text: str, closed: list[Span] = ()):
-        found = [m.span() for m in _ATOM.finditer(text)]
-        self.text, self.atoms = text, found
-        taken = [any(a < e and s < b for _, s, e in closed) for a, b in found]
-        word = [text[a:b] for a, b in found]
-        counts = [(0, 0, 0, 0)]
-        for w in word:
-            d, at, dot, letters = counts[-1]
-            more = len(w) if w[0] in "0123456789" else 0
-            counts.append((d + more, at + (w == "@" or w.lower() == "at"), dot + (w == "."), letters + w[0].isalpha()))
-        self.ends: list[list[tuple[int, list[str]]]] = [[] for _ in range(len(found) + 1)]
-        for i in range(len(found)):
-            if word[i] not in "+([" and not word[i][0].isalnum():
+        self.text = text
+        self.atoms = found = [m.span() for m in _ATOM.finditer(text)]
+        self.word = word = [text[a:b] for a, b in found]
+        n = len(word)
+        self.digit = [w[0] in "0123456789" for w in word]
+        self.alpha = [w[0].isalpha() for w in word]
+        self.solid = [w[0].isalnum() for w in word]
+        self.at = [w == "@" or w.lower() == "at" for w in word]
+        self.blank, barred = [False] * n, [False] * n
+        for k in range(1, n):
+            gap = text[found[k - 1][1] : found[k][0]]
+            self.blank[k], barred[k] = " " in gap, "\n" in gap
+        taken = [any(a < e and s < b for _, s, e in closed) for a, b in found] if closed else [False] * n
+        #: First atom that no segment from here may hold, and the first run of letters.
+        self.wall, self.letter = [n] * (n + 1), [n] * (n + 1)
+        for k in range(n - 1, -1, -1):
+            self.letter[k] = k if self.alpha[k] else self.letter[k + 1]
+            self.wall[k] = k if taken[k] else k + 1 if k + 1 < n and barred[k + 1] else self.wall[k + 1]
+        self.digits, self.ats = [0], [0]
+        for k, w in enumerate(word):
+            self.digits.append(self.digits[-1] + len(w) * self.digit[k])
+            self.ats.append(self.ats[-1] + self.at[k])
+
+    def segments(self, i: int) -> list[tuple[int, Shape]]:
+        """(end, shape) of every candidate that begins at an atom."""
+        word, solid, digit, alpha = self.word, self.solid, self.digit, self.alpha
+        if not solid[i] and word[i] not in "+([":
+            return []
+        stop = min(self.wall[i], i + LONGEST)
+        if self.ats[stop] == self.ats[i]:  # then it can hold no letters, and needs digits
+            stop = min(stop, self.letter[i])
+            if self.digits[stop] - self.digits[i] < 4:
+                return []
+        first = word[i] if not word[i].isalnum() else "a" if alpha[i] else "9"
+        out, marks, spaced, sign, letters, dots, groups = [], "", False, False, 0, 0, ()
+        for k in range(i, stop):
+            w = word[k]
+            if self.blank[k] and k > i and not spaced:
+                spaced, marks = True, "".join(sorted(marks + " "))
+            if alpha[k]:
+                letters += 1
+            elif digit[k]:
+                groups += (len(w),)
+            elif not solid[k]:
+                dots += w == "."
+                sign = sign or w == "@"
+                if w not in marks:
+                    marks = "".join(sorted(marks + w))
+            if not solid[k]:
                 continue
-            for j in range(i + 1, min(len(found), i + LONGEST) + 1):
-                if taken[j - 1] or "\n" in text[found[max(i, j - 2)][0] : found[j - 1][1]]:
-                    break
-                d, at, dot, letters = (counts[j][k] - counts[i][k] for k in range(4))
-                if word[j - 1][0].isalnum() and (at or not letters and (d >= 7 or d >= 4 and dot >= 3)):
-                    self.ends[j].append((i, self._features(i, j, word, d)))
-
-    def _features(self, i: int, j: int, word: list[str], d: int) -> list[str]:
-        (a, _), (_, b) = self.atoms[i], self.atoms[j - 1]
-        text, span = self.text, self.text[self.atoms[i][0] : self.atoms[j - 1][1]]
-        groups = [len(w) for w in word[i:j] if w[0] in "0123456789"]
-        letters = sum(w[0].isalpha() for w in word[i:j])
-        marks = "".join(sorted({w for w in word[i:j] if not w[0].isalnum()} | {" "} if " " in span else {w for w in word[i:j] if not w[0].isalnum()}))
-        out = [
-            "bias",
-            f"digits={d}",
-            f"marks={marks}",
-            f"letters={min(letters, 6)}",
-            f"atoms={j - i}",
-            f"groups={'-'.join(map(str, groups[:6])) if not letters else ''}",
-            f"first={word[i] if not word[i].isalnum() else 'a' if word[i][0].isalpha() else '9'}",
-        ]
-        if 12 <= d <= 19 and not letters:
-            out.append(f"luhn={luhn(_digits(span))}")
-        if len(groups) == 4 and not letters:
-            out.append(f"bytes={all(_byte(w) for w in word[i:j] if w[0] in '0123456789')},{marks}")
-        if letters:
-            out.append(f"ats={sum(w == '@' or w.lower() == 'at' for w in word[i:j])},last={min(len(word[j - 1]), 5)}")
-            out.append(f"spaced={' ' in span},{'@' in span}")
-        left = text[a - 1] if a else "^"
+            ats, d = self.ats[k + 1] - self.ats[i], self.digits[k + 1] - self.digits[i]
+            if letters:
+                if ats:
+                    out.append((k + 1, (d, marks, letters if letters < 6 else 6, k + 1 - i, (), first, None, None, ats, min(len(w), 5), spaced, sign)))
+            elif ats or d >= 7 or d >= 4 and dots >= 3:
+                checked = luhn("".join(word[x] for x in range(i, k + 1) if digit[x])) if 12 <= d <= 19 else None
+                small = all(_byte(word[x]) for x in range(i, k + 1) if digit[x]) if len(groups) == 4 else None
+                out.append((k + 1, (d, marks, 0, k + 1 - i, groups[:6], first, checked, small, 0, 0, False, False)))
+        return out
+
+    def before(self, i: int) -> list[str]:
+        a = self.atoms[i][0]
+        left = self.text[a - 1] if a else "^"
+        words = [self.word[k].lower() for k in range(max(0, i - 3), i) if self.alpha[k]]
+        return [f"left={'a' if left.isalnum() else left if left in '+.-@(_%/' else ' '}", *(f"word={w}" for w in words[-2:])]
+
+    def after(self, j: int) -> list[str]:
+        text, b = self.text, self.atoms[j - 1][1]
         right = text[b] if b < len(text) else "$"
-        out.append(f"left={'a' if left.isalnum() else left if left in '+.-@(_%/' else ' '}")
-        beyond = right in ".-)@," and b + 1 < len(text) and text[b + 1].isalnum()
-        out.append(f"right={'a' if right.isalnum() else right if beyond else ' '}")
-        if right == " " and b + 1 < len(text) and text[b + 1].isdigit():
-            out.append("digits follow")
-        before = [w.lower() for w in word[max(0, i - 3) : i] if w[0].isalpha()]
-        return out + [f"word={w}" for w in before[-2:]]
+        more = b + 1 < len(text)
+        beyond = right in ".-)@," and more and text[b + 1].isalnum()
+        out = [f"right={'a' if right.isalnum() else right if beyond else ' '}"]
+        return [*out, "digits follow"] if right == " " and more and text[b + 1].isdigit() else out
 
 
 class SemiMarkov:
     """Weights per feature and kind; atoms outside entities score zero."""
 
+    #: Shapes whose weights are kept.
+    KEPT = 100_000
+
     def __init__(self, weights: dict[str, list[float]] | None = None):
         self.weights = weights or {}
+        self.shapes: dict[Shape, list[float]] = {}
+
+    def _sum(self, features: list[str]) -> list[float]:
+        found = [w for f in features if (w := self.weights.get(f))]
+        return [sum(c) for c in zip(*found)] if found else [0.0] * len(KINDS)
 
-    def _scored(self, lattice: Lattice) -> list[list[tuple[int, list[str], list[float]]]]:
-        none = [0.0] * len(KINDS)
-        return [
-            [(i, f, [sum(c) for c in zip(*(self.weights.get(x, none) for x in f))]) for i, f in row] for row in lattice.ends
-        ]
+    def _shape(self, shape: Shape) -> list[float]:
+        if (known := self.shapes.get(shape)) is None:
+            if len(self.shapes) >= self.KEPT:
+                self.shapes.clear()
+            known = self.shapes[shape] = self._sum(shape_features(shape))
+        return known
 
     def best(self, lattice: Lattice) -> list[Span]:
-        """The segments of the highest total score."""
-        total, came = [0.0], [None]
-        for j, row in enumerate(self._scored(lattice)[1:], 1):
-            top, how = total[j - 1], None
-            for i, _, scores in row:
-                kind = max(range(len(KINDS)), key=scores.__getitem__)
-                if total[i] + scores[kind] > top:
-                    top, how = total[i] + scores[kind], (i, kind)
-            total.append(top)
-            came.append(how)
-        out, j = [], len(total) - 1
+        """The segments of the highest total score; what is kept per atom is one total and one segment."""
+        n = len(lattice.atoms)
+        total, came = [-math.inf] * (n + 1), [None] * (n + 1)
+        after: dict[int, list[float]] = {}
+        total[0] = 0.0
+        for i in range(n):
+            if i and total[i - 1] >= total[i]:
+                total[i], came[i] = total[i - 1], None
+            if not (found := lattice.segments(i)):
+                continue
+            before = self._sum(lattice.before(i))
+            for j, shape in found:
+                if (right := after.get(j)) is None:
+                    right = after[j] = self._sum(lattice.after(j))
+                scores = [x + y + z for x, y, z in zip(before, self._shape(shape), right)]
+                top = max(scores)
+                if total[i] + top > total[j]:
+                    total[j], came[j] = total[i] + top, (i, scores.index(top))
+            after.pop(i, None)
+        if n and total[n - 1] >= total[n]:
+            came[n] = None
+        out, j = [], n
         while j:
             if came[j]:
                 i, kind = came[j]
@@ -204,58 +265,101 @@ class SemiMarkov:
                 j -= 1
         return out[::-1]
 
-    def _ascend(self, lattice: Lattice, gold: set[Span], rate: float, decay: float, seen: dict[str, list[float]]) -> None:
-        scored = self._scored(lattice)
-        n = len(lattice.atoms)
-
-        def add(x: float, y: float) -> float:
-            return max(x, y) + math.log1p(math.exp(-abs(x - y)))
-
-        fore = [0.0] * (n + 1)
-        for j in range(1, n + 1):
-            fore[j] = fore[j - 1]
-            for i, _, scores in scored[j]:
-                for s in scores:
-                    fore[j] = add(fore[j], fore[i] + s)
-        back = self._back(scored, n)
-        step: dict[str, list[float]] = defaultdict(lambda: [0.0] * len(KINDS))
-        for j in range(1, n + 1):
-            for i, features, scores in scored[j]:
-                span = lattice.atoms[i][0], lattice.atoms[j - 1][1]
-                for k, s in enumerate(scores):
-                    off = ((KINDS[k], *span) in gold) - math.exp(fore[i] + s + back[j] - fore[n])
-                    if abs(off) > 1e-4:
-                        for f in features:
-                            step[f][k] += off
-        for f, change in step.items():
-            w, h = self.weights.setdefault(f, [0.0] * len(KINDS)), seen.setdefault(f, [1.0] * len(KINDS))
-            for k, g in enumerate(change):
-                g -= decay * w[k]
-                h[k] += g * g
-                w[k] += rate * g / math.sqrt(h[k])
-
-    @staticmethod
-    def _back(scored: list, n: int) -> list[float]:
-        starts: list[list[tuple[int, float]]] = [[] for _ in range(n + 1)]
-        for j in range(1, n + 1):
-            for i, _, scores in scored[j]:
-                starts[i] += [(j, s) for s in scores]
-        back = [0.0] * (n + 1)
-        for i in range(n - 1, -1, -1):
-            terms = [back[i + 1], *(back[j] + s for j, s in starts[i])]
-            top = max(terms)
-            back[i] = top + math.log(sum(math.exp(t - top) for t in terms))
-        return back
-
     def fit(self, examples: list[tuple[str, list[Span]]], passes: int = 4, rate: float = 0.5, decay: float = 0.002) -> SemiMarkov:
-        lattices = [(Lattice(text), set(gold)) for text, gold in examples]
-        seen: dict[str, list[float]] = {}
+        """Ascend the likelihood, one example at a time with steps that shrink per weight."""
+        number: dict[str, int] = {}
+        known = [Example(Lattice(text), set(gold), number) for text, gold in examples]
+        weights, seen = np.zeros((len(number), len(KINDS))), np.ones((len(number), len(KINDS)))
         for _ in range(passes):
-            for lattice, gold in lattices:
-                self._ascend(lattice, gold, rate, decay, seen)
+            for example in known:
+                at, g = example.slopes(weights)
+                g = g - decay * weights[at]
+                seen[at] += g * g
+                weights[at] += rate * g / np.sqrt(seen[at])
+        self.weights = {f: weights[n].tolist() for f, n in number.items() if weights[n].any()}
+        self.shapes.clear()
         return self
 
 
+def _added(terms: list[float]) -> float:
+    top = max(terms)
+    return top + math.log(sum(math.exp(t - top) for t in terms))
+
+
+class Example:
+    """A lattice with its right segmentation, laid out for repeated likelihoods; ``number`` gives new features a place."""
+
+    def __init__(self, lattice: Lattice, gold: set[Span], number: dict[str, int]):
+        self.atoms = n = len(lattice.atoms)
+        parts: dict[tuple, int] = {}
+        features: list[list[int]] = []
+
+        def part(key: tuple, names: Callable[[], list[str]]) -> int:
+            if key not in parts:
+                parts[key] = len(features)
+                features.append([number.setdefault(f, len(number)) for f in names()])
+            return parts[key]
+
+        rows, self.gold = [], []
+        for i in range(n):
+            for j, shape in lattice.segments(i):
+                of = (
+                    part(("before", i), lambda i=i: lattice.before(i)),
+                    part(("shape", shape), lambda shape=shape: shape_features(shape)),
+                    part(("after", j), lambda j=j: lattice.after(j)),
+                )
+                span = lattice.atoms[i][0], lattice.atoms[j - 1][1]
+                rows.append((i, j, *of))
+                self.gold.append([float((k, *span) in gold) for k in KINDS])
+        table = np.array(rows, np.int64).reshape(-1, 5)
+        self.begin, self.end, self.parts = table[:, 0], table[:, 1], table[:, 2:]
+        self.gold = np.array(self.gold).reshape(-1, len(KINDS))
+        self.flat = np.array([f for names in features for f in names], np.int64)
+        self.sizes = np.array([len(names) for names in features], np.int64)
+        self.touched, self.place = np.unique(self.flat, return_inverse=True)
+
+    def _totals(self, weights: np.ndarray) -> tuple[np.ndarray, list[float], list[float]]:
+        """Scores per segment and kind, and logarithms of the summed weights of all ways to and from every place."""
+        starts = np.cumsum(self.sizes) - self.sizes
+        part = np.add.reduceat(weights[self.flat], starts) if len(self.flat) else np.zeros((0, len(KINDS)))
+        scores = part[self.parts].sum(axis=1)
+        any_kind = np.logaddexp.reduce(scores, axis=1).tolist()
+        n = self.atoms
+        fore, into = [0.0] * (n + 1), [[] for _ in range(n + 1)]
+        back, out = [0.0] * (n + 1), [[] for _ in range(n + 1)]
+        ways = list(zip(self.begin.tolist(), self.end.tolist(), any_kind))
+        at = 0
+        for i in range(n + 1):
+            if i:
+                fore[i] = _added([fore[i - 1], *into[i]]) if into[i] else fore[i - 1]
+            while at < len(ways) and ways[at][0] == i:
+                into[ways[at][1]].append(fore[i] + ways[at][2])
+                out[i].append(ways[at])
+                at += 1
+        for i in range(n - 1, -1, -1):
+            back[i] = _added([back[i + 1], *(back[j] + s for _, j, s in out[i])]) if out[i] else back[i + 1]
+        return scores, fore, back
+
+    def likelihood(self, weights: np.ndarray) -> float:
+        """Logarithm of the right segmentation's share among all segmentations."""
+        scores, fore, _ = self._totals(weights)
+        return float((scores * self.gold).sum()) - fore[-1]
+
+    def slopes(self, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Features and what the likelihood gains per feature and kind."""
+        scores, fore, back = self._totals(weights)
+        share = np.exp(np.array(fore)[self.begin, None] + scores + np.array(back)[self.end, None] - fore[-1])
+        off = self.gold - share
+        off[np.abs(off) <= 1e-4] = 0
+        part = np.zeros((len(self.sizes), len(KINDS)))
+        for column in self.parts.T:
+            np.add.at(part, column, off)
+        step = np.zeros((len(self.touched), len(KINDS)))
+        np.add.at(step, self.place, np.repeat(part, self.sizes, axis=0))
+        moved = step.any(axis=1)
+        return self.touched[moved], step[moved]
+
+
 def disguised(kind: str, text: str, rng: random.Random) -> str:
     """A form of an entity that the rules do not know."""
     if kind == "email":
