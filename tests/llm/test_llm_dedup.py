@@ -179,3 +179,31 @@ def test_empty_tables(table):
     assert exact_dedup.flags(empty).count() == 0
     assert simhash.near_groups(empty).count() == 0
     assert exact_dedup.keep_first(empty).count() == 0 and simhash.keep_one(empty).count() == 0
+
+
+def test_groups_that_share_their_smallest_id_each_keep_a_row(table):
+    one, two = (" ".join(f"{w}{i}" for i in range(80)) for w in "ab")
+    rows = [(3, one), (3, two), (5, one), (6, two), (3, one), (None, one), (None, two)]
+    assert sorted((r.doc_id, r.text) for r in simhash.keep_one(table(rows)).collect()) == [(3, one), (3, two)]
+    nameless = [(None, one), (None, two), (None, one)]
+    assert sorted(r.text for r in simhash.keep_one(table(nameless)).collect()) == [one, two]
+
+
+@pytest.mark.parametrize("shingle,tables", [(1, 1), (2, 4), (5, 2)])
+def test_several_fingerprints_link_what_any_of_them_links(table, awkward, shingle, tables):
+    rows = awkward[:]
+    base = max((t or "" for _, t in awkward), key=lambda t: len(t.split())).split()[:300]
+    for k in range(40):
+        w = base[:]
+        for j in range(k // 4):
+            w[7 * j + k] = f"new{k}"
+        rows.append((100 + k, " ".join(w)))
+    fps = [simhash.fingerprints_of((t or "").encode(), shingle, tables) for _, t in rows]
+    assert all(len(f) == tables for f in fps) and len({x for f in fps for x in f}) > tables * len(set(map(tuple, fps))) // 2
+    groups = brute_components(fps, lambda x, y: any((a ^ b).bit_count() <= 3 for a, b in zip(x, y)))
+    kept = simhash.keep_one(table(rows), shingle=shingle, tables=tables).collect()
+    assert len(kept) == len({id(g) for g in groups})
+    of = {}
+    for (i, t), g in zip(rows, groups):
+        of[i, t] = id(g)
+    assert len({of[r.doc_id, r.text] for r in kept}) == len(kept)
