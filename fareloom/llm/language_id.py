@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -34,7 +35,9 @@ UNKNOWN = "und"
 MIN_MARGIN = 0.002
 #: Bits of difference that count as one step of the score.
 SOFTNESS = 16
-_NOT_LETTERS = re.compile(r"[\W\d_]+")
+#: Numerals such as halves, circled and Roman ones count as word characters but are no letters.
+_NUMERALS = "".join(map(chr, (c for c in range(1 << 17) if unicodedata.category(chr(c)) in ("No", "Nl"))))
+_NOT_LETTERS = re.compile(rf"[\W\d_{_NUMERALS}]+")
 
 
 def plain(text: str) -> bytes:
