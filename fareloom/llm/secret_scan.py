@@ -41,10 +41,14 @@ RULES = (
     Rule("chat", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("cloud_api", r"AIza[A-Za-z0-9_-]{35}"),
     Rule("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+"),
-    Rule("url_login", r"://[^\x00-\x20:@/]{1,64}:[^\x00-\x20:@/]{1,64}@"),
+    Rule("url_login", r"://[^\x00-\x20:@/]+:[^\x00-\x20:@/]+@"),
 )
 
 
+#: Spans of a text that are gathered in one list before they join the others.
+TOGETHER = 256
+
+
 def index(docs: DataFrame, wanted: list[str]) -> DataFrame:
     """Postings (trigram, oid, text_hash) of the ``wanted`` trigrams."""
     low = docs.select("oid", "text_hash", F.lower("text").alias("low"))
@@ -78,14 +82,23 @@ def _spans(rule: Rule, number: int) -> Column:
         f"zip_with(regexp_extract_all(text, {pattern}, 0), regexp_extract_all(text, {pattern}, {rule.group}), (m, g) -> struct(m, g))"
     )
     span = f"struct(a.at + length(x.gap) AS start, {number} AS number, a.at + length(x.gap) + length(x.p.m) AS end)"
+    spans = "array<struct<start:bigint,number:int,end:bigint>>"
+    # An append copies its list, so spans gather in lists of TOGETHER, and those in one list of lists.
     return F.expr(
         f"""aggregate(
-          filter(zip_with(split(text, {pattern}, -1), {parts}, (gap, p) -> struct(gap, p)), x -> x.p IS NOT NULL),
-          struct(0L AS at, CAST(array() AS array<struct<start:bigint,number:int,end:bigint>>) AS out),
-          (a, x) -> struct(
-            a.at + length(x.gap) + length(x.p.m) AS at,
-            if(length(x.p.g) >= {rule.least}, array_append(a.out, {span}), a.out) AS out),
-          a -> a.out)"""
+          transform(
+            array(filter(zip_with(split(text, {pattern}, -1), {parts}, (gap, p) -> struct(gap, p)), x -> x.p IS NOT NULL)),
+            all -> transform(sequence(0, size(all) div {TOGETHER}), n -> slice(all, n * {TOGETHER} + 1, {TOGETHER})))[0],
+          struct(0L AS at, CAST(array() AS array<{spans}>) AS out),
+          (done, some) -> transform(
+            array(aggregate(
+              some,
+              struct(done.at AS at, CAST(array() AS {spans}) AS out),
+              (a, x) -> struct(
+                a.at + length(x.gap) + length(x.p.m) AS at,
+                if(length(x.p.g) >= {rule.least}, array_append(a.out, {span}), a.out) AS out))),
+            r -> struct(r.at AS at, array_append(done.out, r.out) AS out))[0],
+          done -> flatten(done.out))"""
     )
 
 
