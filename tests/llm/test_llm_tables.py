@@ -141,6 +141,24 @@ def test_equal_vectors_go_by_id_and_bad_ones_take_no_part(spark):
     assert by == {q: [i for _, i in w] for q, w in want.items()}
 
 
+def test_every_dimension_has_its_neighbours_and_doubles_stay_doubles(spark):
+    rng = np.random.default_rng(4)
+    sizes = {4: 60, 5: 1, 6: 90, 3: 20}
+    rows = [(i * 10, rng.standard_normal(d).tolist()) for i, d in enumerate(d for d, n in sizes.items() for _ in range(n))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    by = defaultdict(list)
+    for r in sorted(neighbours.nearest(df, F.col("vec_id") % 20 == 0, 20).collect(), key=lambda r: (r.query_id, r["rank"])):
+        by[r.query_id].append((r.vec_id, r.score))
+    hits = total = 0
+    for q, v in rows:
+        if q % 20 == 0:
+            exact = {i: float((np.array(v) * np.array(w)).sum()) for i, w in rows if i != q and len(w) == len(v)}
+            want = sorted(exact.items(), key=lambda x: (-x[1], x[0]))[:20]
+            assert len(by[q]) == len(want) and all(s == pytest.approx(exact[i], rel=1e-14) for i, s in by[q])
+            hits, total = hits + len(dict(by[q]).keys() & dict(want).keys()), total + len(want)
+    assert hits >= 0.97 * total and len(by) <= 86
+
+
 def test_few_candidates_are_all_returned(spark):
     v = vectors(5, 3)
     got = neighbours.nearest(frame(spark, v, [0, 1, 2, 3, 20]), F.col("vec_id") % 20 == 0, 20).collect()
