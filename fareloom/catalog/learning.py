@@ -1,22 +1,24 @@
 """Queries: trained models, scoring and the stream.
 
 Models have the library's full sizes and learn from the whole table. Each is trained once per
-application and folder, and all queries that need it share that fit. Two queries train less, and
-say so: the one that stops early, and cross-validation.
+application and folder, and all queries that need it share that fit. One query trains less and says so:
+cross-validation.
 """
 
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fareloom import schema as S
 from fareloom.catalog.modelling import KEY, model_rows, planted_requests
-from fareloom.catalog.registry import query
+from fareloom.catalog.registry import query, rounded
 from fareloom.functions.rules import accepted, validate_requests
 from fareloom.operators import sampling as R
 from fareloom.operators.quality import target_filter
+from fareloom.plans import boosting as B
 from fareloom.plans import models as M
 from fareloom.plans import scoring as C
 from fareloom.plans.encoder import TripEncoder
@@ -67,21 +69,67 @@ training_query("train_rf", "random_forest")
 training_query("train_rf_log", "log_random_forest")
 
 
+#: Edges of the bins in the two queries that show how a tree splits.
+SHOWN_EDGES = {
+    "trip_distance": [0.0, 1.0, 2.5, 5.0, 7.5, 10.0, 15.0],
+    "tip_amount": [-1.0, 0.0, 0.5, 1.0, 2.0, 3.0],
+    "tolls_amount": [-1.0, 0.0, 5.0],
+    "passenger_count": [0.0, 1.0, 2.0, 3.0],
+}
+
+
+def shown_cells(spark, d):
+    given = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in SHOWN_EDGES])
+    t = trips(spark, d).select(given.alias("x"), S.TARGET, KEY)
+    stored = B.binned(t, "x", list(SHOWN_EDGES.values()), S.TARGET, None, KEY)
+    return B.histogram(stored, B.Tree(), [0], range(len(SHOWN_EDGES)), [], B.Settings(rows=1.0, columns=1.0), 0)
+
+
+@query("boost_histogram")
+def boost_histogram(spark, d):
+    """What a boosted tree knows of its root: gradients and rows per feature and bin, over all trips."""
+    return rounded(shown_cells(spark, d).select("feature", "bin", F.col("g").alias("gradient"), F.col("h").cast("long").alias("rows")), 4)
+
+
+@query("boost_first_split")
+def boost_first_split(spark, d):
+    """The root's split, and the values of its two leaves before the learning rate."""
+    top = B.best_splits(shown_cells(spark, d))
+    left = -F.col("left_g") / (F.col("left_h") + 1)
+    right = -(F.col("g") - F.col("left_g")) / (F.col("h") - F.col("left_h") + 1)
+    shown = top.select("feature", "bin", "gain", F.col("left_h").cast("long").alias("left_rows"), left.alias("left_value"), right.alias("right_value"))
+    return rounded(shown, 4)
+
+
+_boosted: dict[tuple[str, str], tuple[B.Booster, DataFrame]] = {}
+
+
+def boosted_es(spark, d) -> tuple[B.Booster, DataFrame]:
+    """Full settings (up to 100 trees of depth 20, patience of 10), and the encoded test rows.
+
+    A fifth of the training rows is for validation; the encoder does not see it.
+    """
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _boosted:
+        train_rows, test_rows = split_rows(spark, d)
+        marked = R.train_test_split(train_rows, KEY, 0.2, "validation", name="is_validation")
+        encoding = TripEncoder().fit(marked.where("not is_validation"))
+        x = encoding.transform(marked).select("features", S.TARGET, "is_validation", KEY)
+        _boosted[key] = B.fit(x, keep=(KEY,)), encoding.transform(test_rows)
+    return _boosted[key]
+
+
 @query("train_gbt_es")
 def train_gbt_es(spark, d):
-    """Boosted trees that watch a validation part of the training rows, which the encoder does not see.
+    """Test metrics of the trees up to the best one on the validation rows, and how many these are."""
+    model, test_rows = boosted_es(spark, d)
+    return M.evaluate(model.transform(test_rows)).withColumn("trees", F.lit(len(model.trees)))
 
-    Only 8 trees of depth 4; the full setting is 100 of depth 20.
-    """
-    train_rows, test_rows = split_rows(spark, d)
-    marked = R.train_test_split(train_rows, KEY, 0.2, "validation", name="is_validation")
-    encoding = TripEncoder().fit(marked.where("not is_validation"))
-    x = encoding.transform(marked).select("features", S.TARGET, "is_validation")
-    with M.cached(x):
-        model = M.gbt_early_stop(trees=8, depth=4, rate=0.3).fit(x)
-        return M.evaluate(model.transform(encoding.transform(test_rows))).withColumn(
-            "trees", F.lit(model.getNumTrees)
-        )
+
+@query("boost_curve")
+def boost_curve(spark, d):
+    """Errors after every tree that was tried, and whether the model keeps it."""
+    return boosted_es(spark, d)[0].loss_table(spark)
 
 
 @query("model_table")

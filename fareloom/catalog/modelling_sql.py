@@ -362,3 +362,25 @@ SELECT trip_id, trip_distance, passenger_count, VendorID, RatecodeID, store_and_
   concat(VendorID, '_', payment_type) AS vendor_payment_interaction
 FROM good"""
 
+
+
+# -- boosting: the root's sums and its split --------------------------------------------
+
+EDGES = {
+    "trip_distance": [0.0, 1.0, 2.5, 5.0, 7.5, 10.0, 15.0],
+    "tip_amount": [-1.0, 0.0, 0.5, 1.0, 2.0, 3.0],
+    "tolls_amount": [-1.0, 0.0, 5.0],
+    "passenger_count": [0.0, 1.0, 2.0, 3.0],
+}
+CELLS = f"""{TRIPS}, cells AS (
+  SELECT feature, bin, sum(-total_amount) AS g, count(*)::DOUBLE AS h FROM ({union(
+      f"SELECT {n}::BIGINT AS feature, len(list_filter({edges}::DOUBLE[], lambda e: e < coalesce({c}, 0)))::BIGINT AS bin, total_amount FROM trips"
+      for n, (c, edges) in enumerate(EDGES.items()))}) WHERE total_amount IS NOT NULL GROUP BY ALL)"""
+SQL["boost_histogram"] = f"{CELLS} SELECT feature, bin, round(g, 4) AS gradient, h::BIGINT AS rows FROM cells"
+SQL["boost_first_split"] = f"""{CELLS}, upto AS (
+  SELECT *, sum(g) OVER (PARTITION BY feature ORDER BY bin) AS lg, sum(h) OVER (PARTITION BY feature ORDER BY bin) AS lh,
+    sum(g) OVER (PARTITION BY feature) AS ag, sum(h) OVER (PARTITION BY feature) AS ah FROM cells),
+scored AS (SELECT *, lg * lg / (lh + 1) + (ag - lg) ^ 2 / (ah - lh + 1) - ag * ag / (ah + 1) AS gain FROM upto WHERE ah - lh >= 1)
+SELECT feature, bin, round(gain, 4) AS gain, lh::BIGINT AS left_rows, round(-lg / (lh + 1), 4) AS left_value,
+  round(-(ag - lg) / (ah - lh + 1), 4) AS right_value
+FROM scored ORDER BY scored.gain DESC, feature, bin LIMIT 1"""
