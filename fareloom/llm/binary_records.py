@@ -23,12 +23,13 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.llm.common import LAST_ID, Remembered, at_blanks, ordered_id, pieces, settle, ship, strings
+from fareloom.llm.common import LAST_ID, CutTexts, Remembered, at_blanks, ordered_id, pieces, settle, ship, strings, uncollected
 from fareloom.session import scratch_path
 
 #: Fixed values of the record format: the checksum's mask, and the index entry.
@@ -36,6 +37,10 @@ MASK = 0xA282EAD8
 ENTRY = np.dtype([("doc_id", "<i8"), ("missing", "<u1"), ("offset", "<u8"), ("tokens", "<u8")])
 #: Encoded words that a Python worker remembers.
 REMEMBERED = 600_000
+#: Bytes of text that are cut into words at a time; the more, the rarer a word is met again in the next.
+TOGETHER = 12 << 20
+#: Bytes of text that a file holds about, where there is enough text.
+FILE_BYTES = 128 << 20
 
 
 class Encoder:
@@ -59,9 +64,25 @@ class Encoder:
         found = self.library.encode_batch_fast(parts, add_special_tokens=False)
         return [np.array(e.ids, self.width).tobytes() for e in found]
 
-    def __call__(self, batch: list[str]) -> list[bytes]:
-        """Packed ids of each text."""
-        return self.words.joined([[t] if any(s in t for s in self.special) else at_blanks(t) for t in batch])
+    def __call__(self, column: pa.Array) -> list[bytes]:
+        """Packed ids of each text of a column; a missing one is empty."""
+        if not len(column):
+            return []
+        with uncollected():
+            return self._packed(column)
+
+    def _packed(self, column: pa.Array) -> list[bytes]:
+        data = column.cast(pa.large_binary())
+        whole = np.zeros(len(column), bool)
+        for token in self.special:
+            whole |= pc.fill_null(pc.match_substring(data, token.encode()), False).to_numpy(zero_copy_only=False)
+        cut = CutTexts(data)
+        out = cut.gathered(self.words.each(cut.pieces), self.width.itemsize)
+        odd = np.flatnonzero(whole | cut.uneven)
+        given = strings(data.take(pa.array(odd)))
+        for n, ids in zip(odd.tolist(), self.words.joined([[t] if w else at_blanks(t) for t, w in zip(given, whole[odd])])):
+            out[n] = ids
+        return out
 
 
 _encoders: dict[int, Encoder] = {}
@@ -102,12 +123,15 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, id_col: s
     """Write every document's ids and ``end_id`` under ``path``; returns (part, records, tokens).
 
     ``tokenizer`` is the tokenizer's JSON. A missing text is empty. Documents are in ascending
-    order of id, a missing id last, equal ids by text.
+    order of id, a missing id last, equal ids by text. Without ``files`` there are as many as shuffles have
+    partitions, or more where a file would hold over ``FILE_BYTES`` of text.
     """
     spark = docs.sparkSession
     ship(spark)
     held = spark.sparkContext.broadcast(tokenizer)  # one vocabulary file, whatever the input
-    files = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if files is None:
+        size = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 0
+        files = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // FILE_BYTES))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
@@ -116,19 +140,23 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, id_col: s
         fs, root = pafs.FileSystem.from_uri(path)
         own = posixpath.join(root, f"part-{part:06d}.{uuid.uuid4().hex}")
         entries, offset, out = [], 0, None
-        for batch in pieces(batches, "text"):
+        for batch in pieces(batches, "text", TOGETHER):
             if out is None:
                 fs.create_dir(root, recursive=True)
                 out = fs.open_output_stream(f"{own}.rec")
-            for oid, ids in zip(batch.column("oid").to_pylist(), encode(strings(batch.column("text")))):
-                record = frame(ids + end)
-                out.write(record)
-                entries.append((oid, oid == LAST_ID, offset, len(ids) // encode.width.itemsize + 1))
-                offset += len(record)
+            oids, records = batch.column("oid").to_numpy(), []
+            entry = np.empty(len(oids), ENTRY)
+            entry["doc_id"], entry["missing"] = oids, oids == LAST_ID
+            for n, ids in enumerate(encode(batch.column("text"))):
+                records.append(frame(ids + end))
+                entry[n]["offset"], entry[n]["tokens"] = offset, len(ids) // encode.width.itemsize + 1
+                offset += len(records[-1])
+            out.write(b"".join(records))
+            entries.append(entry)
         if out is None:
             return
         out.close()
-        index = np.array(entries, ENTRY)
+        index = np.concatenate(entries)
         with fs.open_output_stream(f"{own}.idx") as f:
             f.write(index.tobytes())
         for kind in ("idx", "rec"):

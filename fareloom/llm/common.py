@@ -7,8 +7,10 @@ import re
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -52,6 +54,7 @@ def strings(column: pa.Array) -> list[str]:
 
 _UNEVEN_BLANK = re.compile(rf" (?:[{WHITE}]|\Z)")
 _BLANK_BEFORE_WORD = re.compile(rf" (?=[^{WHITE}])")
+_WHITE_FIRST = re.compile(rf"[{WHITE}]|\Z")
 
 
 def at_blanks(text: str) -> list[str]:
@@ -60,6 +63,56 @@ def at_blanks(text: str) -> list[str]:
     return [cut[0], *[" " + part for part in cut[1:]]]
 
 
+@contextmanager
+def uncollected() -> Iterator[None]:
+    """Without searches for cycles, which pass over all that is remembered whenever many small objects are made."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
+class CutTexts:
+    """A column of texts cut at their blanks, with every distinct piece once.
+
+    ``pieces`` are the distinct pieces; the first of a text has no blank before it, all others have one. ``at`` has the number
+    of the piece for every place of every text in turn, ``starts`` where each text begins there. ``uneven`` marks
+    the texts of which a blank has no visible character after it: their pieces are not those of ``at_blanks``.
+    """
+
+    def __init__(self, column: pa.Array):
+        data = pc.fill_null(column.cast(pa.large_binary()), b"")
+        cut = pc.split_pattern(data, b" ")
+        self.starts = cut.offsets.to_numpy()[:-1] - cut.offsets[0].as_py()
+        coded = cut.flatten().dictionary_encode()
+        words = [w.decode("utf-8", "replace") for w in coded.dictionary.to_pylist()]
+        at = coded.indices.to_numpy()
+        loose = np.fromiter(map(bool, map(_WHITE_FIRST.match, words)), bool, len(words))[at]
+        loose[self.starts] = False
+        self.uneven = np.logical_or.reduceat(loose, self.starts) if len(self.starts) else loose
+        first, place = np.unique(at[self.starts], return_inverse=True)
+        self.pieces = [" " + w for w in words] + [words[k] for k in first]
+        self.at = at.astype(np.int64)
+        self.at[self.starts] = len(words) + place
+
+    def gathered(self, values: list[bytes], width: int) -> list[bytes]:
+        """For each text the values of its pieces one after the other; a value is a number of items of ``width`` bytes."""
+        kind = np.dtype(f"V{width}")
+        flat = np.frombuffer(b"".join(values), kind)
+        size = np.fromiter(map(len, values), np.int64, len(values)) // width
+        begin = np.cumsum(size) - size
+        many = size[self.at]
+        ends = np.cumsum(many)
+        # Item k of the result lies as far into its piece as k is past the piece's first item.
+        from_ = np.repeat(begin[self.at] - (ends - many), many) + np.arange(ends[-1] if len(ends) else 0)
+        data = flat[from_].tobytes()
+        cuts = np.append((ends - many)[self.starts], len(from_)) * width
+        return [data[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+
+
 class Remembered:
     """What was computed for the pieces of texts, about ``most`` of them.
 
@@ -75,17 +128,25 @@ class Remembered:
     def get(self, part: str) -> bytes | None:
         return self.young.get(part) or self.old.get(part)
 
-    def joined(self, cut: list[list[str]]) -> list[bytes]:
-        """For each list of pieces, what was computed for them one after the other."""
+    def _learn(self, parts: set[str]) -> dict[str, bytes]:
         if len(self.young) > self.most:
             self.young, self.old = {}, self.young
         young, old, new = self.young, self.old, []
-        for part in {p for parts in cut for p in parts}.difference(young):
+        for part in parts.difference(young):
             if (value := old.get(part)) is None:
                 new.append(part)
             else:
                 young[part] = value
         young.update(zip(new, self.compute(new)))
+        return young
+
+    def each(self, parts: list[str]) -> list[bytes]:
+        """What was computed for each of the pieces."""
+        return list(map(self._learn(set(parts)).__getitem__, parts))
+
+    def joined(self, cut: list[list[str]]) -> list[bytes]:
+        """For each list of pieces, what was computed for them one after the other."""
+        young = self._learn({p for parts in cut for p in parts})
         return [b"".join(map(young.__getitem__, parts)) for parts in cut]
 
 
@@ -138,6 +199,7 @@ __all__ = [
     "SPACE",
     "WHITE",
     "WORD",
+    "CutTexts",
     "Remembered",
     "at_blanks",
     "given_id",
@@ -149,4 +211,5 @@ __all__ = [
     "ship",
     "strings",
     "texts",
+    "uncollected",
 ]

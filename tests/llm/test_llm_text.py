@@ -6,12 +6,14 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from fareloom.llm import binary_records, bpe, language_id, pii, secret_scan, trigrams
+from fareloom.llm.common import CutTexts, at_blanks
 from fareloom.llm.queries import span_columns, tokenizer_file
 
 RANKS = tokenizer_file("byte_bpe_multi_50k.tiktoken")
@@ -252,3 +254,103 @@ def test_kept_languages_are_those_not_rejected(spark, table):
     kept = language_id.keep_identified(docs, model)
     want = {r.doc_id for r in language_id.classify(docs, model).where("not rejected").collect()}
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == want and not want & {900, 901}
+
+
+def test_texts_cut_in_columns_are_those_cut_one_by_one(awkward):
+    texts = [t for _, t in awkward] + ODD + ["", " ", "  ", " a", "a b ", "\u3000 a", "a \u2003b", "a\n b c"]
+    cut = CutTexts(pa.array(texts, pa.string()).slice(1))
+    assert len(set(cut.pieces)) >= len(cut.pieces) - len(texts)
+    whole = cut.gathered([p.encode() for p in cut.pieces], 1)
+    ends = [*cut.starts[1:], len(cut.at)]
+    for t, data, odd, a, b in zip(texts[1:], whole, cut.uneven, cut.starts, ends):
+        t = t or ""
+        assert data.decode() == t
+        assert odd or [cut.pieces[k] for k in cut.at[a:b]] == at_blanks(t), t
+    assert cut.uneven.sum() < len(texts) / 2
+    assert CutTexts(pa.array([], pa.string())).gathered([], 2) == []
+
+
+def every_segmentation(lattice, at=0):
+    """All sets of segments from an atom on, each with its kinds."""
+    if at == len(lattice.atoms):
+        yield []
+        return
+    for rest in every_segmentation(lattice, at + 1):
+        yield rest
+    for j, shape in lattice.segments(at):
+        for rest in every_segmentation(lattice, j):
+            for k in range(len(pii.KINDS)):
+                yield [(at, j, k, shape), *rest]
+
+
+def test_random_field_equals_every_segmentation_tried():
+    import random
+
+    rng = random.Random(2)
+    texts = ["a at b.c", "(212) 555 1234", "1.2.3.4", "x @ y", "at at", "12 34 56 78", "to 1.2.3.4.5 at z", "a\nat b", "12345678 at"]
+    model = pii.SemiMarkov().fit([(t, pii.base_spans(t)) for t in texts])
+    for f in {f for t in texts for x in range(1) for f in known_features(t)}:
+        model.weights[f] = [rng.uniform(-1, 1.3) for _ in pii.KINDS]
+    number = {f: n for n, f in enumerate(model.weights)}
+    weights = np.array(list(model.weights.values()))
+    for t in texts:
+        lattice = pii.Lattice(t)
+
+        def total(way):
+            parts = [(k, f) for i, j, k, shape in way for f in [*lattice.before(i), *pii.shape_features(shape), *lattice.after(j)]]
+            return sum(model.weights[f][k] for k, f in parts)
+
+        ways = [(total(w), w) for w in every_segmentation(lattice)]
+        best = max(ways, key=lambda w: w[0])[1]
+        assert model.best(lattice) == [(pii.KINDS[k], lattice.atoms[i][0], lattice.atoms[j - 1][1]) for i, j, k, _ in best], t
+        gold = [(pii.KINDS[k], lattice.atoms[i][0], lattice.atoms[j - 1][1]) for i, j, k, _ in ways[len(ways) // 2][1]]
+        example = pii.Example(lattice, set(gold), number)
+        assert len(number) == len(weights)
+        want = ways[len(ways) // 2][0] - np.logaddexp.reduce([x for x, _ in ways])
+        assert example.likelihood(weights) == pytest.approx(want)
+        at, slopes = example.slopes(weights)
+        for f, row in list(zip(at, slopes))[::3]:
+            for k in range(len(pii.KINDS)):
+                step = np.zeros_like(weights)
+                step[f, k] = 1e-5
+                change = (example.likelihood(weights + step) - example.likelihood(weights - step)) / 2e-5
+                assert row[k] == pytest.approx(change, abs=2e-3)
+
+
+def known_features(text):
+    lattice = pii.Lattice(text)
+    for i in range(len(lattice.atoms)):
+        for j, shape in lattice.segments(i):
+            yield from [*lattice.before(i), *pii.shape_features(shape), *lattice.after(j)]
+
+
+def test_dense_texts_are_found_in_bounded_memory():
+    import tracemalloc
+
+    model = pii.SemiMarkov({"bias": [-1.0] * 4, "luhn=True": [0.0, 0.0, 3.0, 0.0]})
+    for text in ("at a " * 12_000, "1 " * 30_000, "1." * 20_000):
+        tracemalloc.start()
+        model.best(pii.Lattice(text))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 100 << 20, (text[:5], peak)
+
+
+@pytest.mark.parametrize("text", ["½", "²³ ①", "Ⅷ", "1 2 3", "__", "٣٤", "〇", "🄋", "", " \n"])
+def test_numerals_are_no_letters(text):
+    model = {"aa": b"abc def " * 40, "bb": b"uvw xyz " * 40}
+    assert language_id.Classifier(model)(text) == ("und", 0.0, 0.0)
+    assert language_id.Classifier(model)(text + " abc def abc")[0] == "aa"
+
+
+def test_long_passwords_and_many_secrets_in_one_text(spark, table):
+    import time
+
+    token = "ey" + "a" * 300
+    rows = [(1, f"git clone https://user:{token}@host.example/x"), (2, "0123456789abcdef, " * 30_000), (3, "x " + "0123456789abcdef " * 257)]
+    started = time.time()
+    found = {r.doc_id: r.spans for r in secret_scan.scan(table(rows)).collect()}
+    assert time.time() - started < 60
+    assert [(s.kind, s.start, s.end) for s in found[1] if s.kind == "url_login"] == [("url_login", 15, 15 + 3 + 4 + 1 + 302 + 1)]
+    assert [(s.start, s.end) for s in found[2]] == [(18 * n, 18 * n + 16) for n in range(30_000)]
+    assert [(s.start, s.end) for s in found[3]] == [(2 + 17 * n, 18 + 17 * n) for n in range(257)]
