@@ -206,13 +206,13 @@ SQL["crosstab_margins"] = f"""{TRIPS}
 , keyed AS (SELECT CAST(payment_type AS VARCHAR) AS payment_type,
     CASE WHEN {MISSING} THEN 'true' ELSE 'false' END AS has_missing FROM trips)
 , cells AS (
-  SELECT payment_type, has_missing, count(*) AS n FROM keyed GROUP BY 1, 2
-  UNION ALL SELECT payment_type, 'All', count(*) FROM keyed GROUP BY 1
-  UNION ALL SELECT 'All', has_missing, count(*) FROM keyed GROUP BY 2
-  UNION ALL SELECT 'All', 'All', count(*) FROM keyed)
-, totals AS (SELECT payment_type, n AS row_n FROM cells WHERE has_missing = 'All')
-SELECT payment_type, has_missing, n, round(100.0 * n / row_n, 6) AS row_pct
-FROM cells JOIN totals USING (payment_type)"""
+  SELECT payment_type, has_missing, count(*) AS n, false AS all_payment_type, false AS all_has_missing FROM keyed GROUP BY 1, 2
+  UNION ALL SELECT payment_type, 'All', count(*), false, true FROM keyed GROUP BY 1
+  UNION ALL SELECT 'All', has_missing, count(*), true, false FROM keyed GROUP BY 2
+  UNION ALL SELECT 'All', 'All', count(*), true, true FROM keyed)
+, totals AS (SELECT payment_type, n AS row_n, all_payment_type FROM cells WHERE all_has_missing)
+SELECT payment_type, has_missing, n, all_payment_type, all_has_missing, round(100.0 * n / row_n, 6) AS row_pct
+FROM cells JOIN totals USING (payment_type, all_payment_type)"""
 
 SQL["negative_counts"] = f"{TRIPS} SELECT * FROM (" + union(
     f"""SELECT '{c}' AS "column", {n_if(c + " < 0")} AS negative, {pct(c + " < 0")} AS negative_pct FROM trips"""
@@ -509,3 +509,33 @@ SQL["welch_t"] = f"{TIMED} " + union(
           FROM timed)"""
     for c in S.COMPARED_COLUMNS
 )
+
+
+# The tails by other means than the expressions under test: sums of logarithms below the mean, a fraction above it.
+SQL["chi2_test"] = f"""WITH found AS ({SQL["chi2_hour_missing"].replace("round(sum((n - expected) * (n - expected) / expected), 4)", "sum((n - expected) * (n - expected) / expected)")})
+, half AS (SELECT *, dof / 2.0 AS a, statistic / 2.0 AS x FROM found)
+, tail AS (SELECT *, CASE
+    WHEN x < a + 1 THEN 1 - exp(a * ln(x) - x) * list_sum(list_transform(range(0, 1000), lambda n: exp(n * ln(x) - lgamma(a + n + 1))))
+    ELSE exp(a * ln(x) - x - lgamma(a)) / (x + 1 - a - list_reduce(range(1500, 0, -1), lambda s, n: n * (n - a) / (x + 2 * n + 1 - a - s), 0e0))
+  END AS p FROM half)
+SELECT round(statistic, 4) AS statistic, dof, round(p, 4) AS p_value, p < 0.05 AS significant FROM tail"""
+
+# The same columns before rounding.
+_WELCH = f"{TIMED} " + union(
+    f"""SELECT '{c}' AS "column", m1 AS mean_in, m0 AS mean_out, (m1 - m0) / sqrt(v1 / n1 + v0 / n0) AS t,
+        power(v1 / n1 + v0 / n0, 2) / (power(v1 / n1, 2) / (n1 - 1) + power(v0 / n0, 2) / (n0 - 1)) AS dof
+        FROM (SELECT count({c}) FILTER (WHERE {MISSING}) AS n1, avg({c}) FILTER (WHERE {MISSING}) AS m1,
+          var_samp({c}) FILTER (WHERE {MISSING}) AS v1, count({c}) FILTER (WHERE NOT {MISSING}) AS n0,
+          avg({c}) FILTER (WHERE NOT {MISSING}) AS m0, var_samp({c}) FILTER (WHERE NOT {MISSING}) AS v0
+          FROM timed)"""
+    for c in S.COMPARED_COLUMNS
+)
+SQL["welch_test"] = f"""SELECT "column", round(mean_in, 5) AS mean_in, round(mean_out, 5) AS mean_out, round(t, 5) AS t, round(dof, 5) AS dof,
+  round(p, 5) AS p_value, p < 0.05 AS significant
+FROM (
+  SELECT *,
+    -- Twice the density's integral beyond |t|, by Simpson's rule over 20,000 steps of u with t = |t| + u / (1 - u).
+    2 * exp(lgamma((dof + 1) / 2) - lgamma(dof / 2)) / sqrt(dof * pi()) * list_sum(list_transform(range(0, 20000),
+      lambda k: (CASE WHEN k = 0 THEN 1 WHEN k % 2 = 1 THEN 4 ELSE 2 END) / 60000.0
+        * power(1 + power(abs(t) + (k / 20000.0) / (1 - k / 20000.0), 2) / dof, -(dof + 1) / 2) / power(1 - k / 20000.0, 2))) AS p
+  FROM ({_WELCH}))"""

@@ -123,21 +123,17 @@ def _missing_by(t: DataFrame, by: Column, cols: Sequence[str]) -> DataFrame:
 def crosstab_margins(t: DataFrame, a: Column, b: Column, names: tuple[str, str] = ("a", "b")) -> DataFrame:
     """Counts of every pair of values with ``All`` margins, and the per cent within the row.
 
-    The row total is the margin cell itself, so a share never counts the margin twice.
+    ``all_<name>`` tells a margin from a value that is called ``All``; a missing value stays missing. The row total
+    is the margin cell itself, so a share never counts the margin twice.
     """
     left, right = names
-    keyed = t.select(
-        F.coalesce(a.cast("string"), F.lit("null")).alias(left),
-        F.coalesce(b.cast("string"), F.lit("null")).alias(right),
-    )
-    counts = keyed.cube(left, right).agg(n_rows().alias("n"))
-    named = counts.select(
-        F.coalesce(F.col(left), F.lit("All")).alias(left),
-        F.coalesce(F.col(right), F.lit("All")).alias(right),
-        "n",
-    )
-    total = F.max(F.when(F.col(right) == "All", F.col("n"))).over(Window.partitionBy(left))
-    return named.withColumn("row_pct", percent(F.col("n"), total))
+    keyed = t.select(a.cast("string").alias(left), b.cast("string").alias(right))
+    marks = [(F.grouping(c) == 1).alias(f"all_{c}") for c in names]
+    counts = keyed.cube(left, right).agg(n_rows().alias("n"), *marks)
+    named = [F.when(F.col(f"all_{c}"), "All").otherwise(F.col(c)).alias(c) for c in names]
+    total = F.max(F.when(F.col(f"all_{right}"), F.col("n"))).over(Window.partitionBy(left, f"all_{left}"))
+    cells = counts.select(*named, "n", *[f"all_{c}" for c in names])
+    return cells.withColumn("row_pct", percent(F.col("n"), total))
 
 
 # -- impossible values ----------------------------------------------------------------

@@ -4,15 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from math import exp, isfinite, lgamma, log, log1p
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import ChiSquareTest
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fareloom import schema as S
 from fareloom.functions.exprs import ratio
+from fareloom.functions.tails import chi2_tail, student_tail
 from fareloom.operators.profile import n_rows
 
 
@@ -104,16 +102,9 @@ def chi2(t: DataFrame, a: Column, b: Column) -> DataFrame:
 
 
 def chi2_test(t: DataFrame, a: Column, b: Column) -> DataFrame:
-    """Statistic, degrees of freedom and p-value from Spark's own test."""
-    coded = t.select(a.cast("double").alias("a"), b.cast("double").alias("b")).dropna()
-    vectors = VectorAssembler(inputCols=["a"], outputCol="features").transform(coded)
-    flat = ChiSquareTest.test(vectors, "features", "b", flatten=True)
-    return flat.select(
-        "statistic",
-        F.col("degreesOfFreedom").alias("dof"),
-        F.col("pValue").alias("p_value"),
-        (F.col("pValue") < 0.05).alias("significant"),
-    )
+    """Statistic, degrees of freedom, p-value, and whether that is below 0.05."""
+    found = chi2(t, a, b).withColumn("p_value", chi2_tail(F.col("statistic"), F.col("dof")))
+    return found.withColumn("significant", F.col("p_value") < 0.05)
 
 
 # -- difference of two means ----------------------------------------------------------
@@ -150,45 +141,9 @@ def welch_t(
 
 
 def welch_test(t: DataFrame, group: Column, cols: Sequence[str] = tuple(S.COMPARED_COLUMNS)) -> DataFrame:
-    """``welch_t`` with two-sided p-values; only the finished one-row-per-column table is local."""
-    rows = [
-        (r["column"], r["mean_in"], r["mean_out"], r["t"], r["dof"], student_p(r["t"], r["dof"]))
-        for r in welch_t(t, group, cols).collect()
-    ]
-    shape = "column string, mean_in double, mean_out double, t double, dof double, p_value double"
-    return t.sparkSession.createDataFrame(rows, shape).withColumn("significant", F.col("p_value") < 0.05)
-
-
-def student_p(t: float | None, dof: float | None) -> float | None:
-    """Two-sided tail of Student's t: the regularised incomplete beta at dof/(dof+t^2)."""
-    if t is None or dof is None or not isfinite(t) or dof <= 0:
-        return None
-    x = dof / (dof + t * t)
-    return _beta_share(dof / 2, 0.5, x)
-
-
-def _beta_share(a: float, b: float, x: float) -> float:
-    if x <= 0 or x >= 1:
-        return 0.0 if x <= 0 else 1.0
-    if x > (a + 1) / (a + b + 2):
-        return 1.0 - _beta_share(b, a, 1 - x)
-    front = exp(lgamma(a + b) - lgamma(a) - lgamma(b) + a * log(x) + b * log1p(-x)) / a
-    # Continued fraction, evaluated by the modified Lentz recurrence.
-    tiny = 1e-300
-    c, d = 1.0, 1.0 / max(1 - (a + b) * x / (a + 1), tiny)
-    f = d
-    for m in range(1, 500):
-        for num in (
-            m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)),
-            -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1)),
-        ):
-            d = 1.0 / ((1 + num * d) or tiny)
-            c = (1 + num / c) or tiny
-            step = c * d
-            f *= step
-        if abs(step - 1) < 1e-14:
-            break
-    return min(1.0, front * f)
+    """``welch_t`` with two-sided p-values."""
+    found = welch_t(t, group, cols).withColumn("p_value", student_tail(F.col("t"), F.col("dof")))
+    return found.withColumn("significant", F.col("p_value") < 0.05)
 
 
 # -- one-feature regression -----------------------------------------------------------

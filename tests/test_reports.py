@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fareloom import schema as S
+from fareloom.functions.tails import chi2_tail, student_tail
 from fareloom.operators import profile as P
 from fareloom.operators import quality as Q
 from fareloom.operators import stats as A
@@ -87,9 +88,33 @@ def test_welch_against_known_values(spark):
     assert 0.03 < r["p_value"] < 0.06
 
 
-@pytest.mark.parametrize("t, dof, p", [(2.228139, 10, 0.05), (1.959964, 1e7, 0.05), (12.7062, 1, 0.05), (0.0, 5, 1.0)])
-def test_student_tail_matches_tables(t, dof, p):
-    assert A.student_p(t, dof) == pytest.approx(p, abs=2e-6)
+TABLE = [(2.228139, 10, 0.05), (1.959964, 1e7, 0.05), (12.7062, 1, 0.05), (0.0, 5, 1.0), (-2.228139, 10, 0.05), (1e-4, 3, 0.9999265), (40.0, 200, 0.0)]
+
+
+def test_student_tail_matches_tables(spark):
+    t = spark.createDataFrame([(float(a), float(b), c) for a, b, c in TABLE], "t double, dof double, p double")
+    for r in t.select("p", student_tail(F.col("t"), F.col("dof")).alias("got")).collect():
+        assert r.got == pytest.approx(r.p, abs=2e-6)
+    odd = [(None, 3.0), (1.0, None), (float("nan"), 3.0), (float("inf"), 3.0), (1.0, 0.0), (1.0, -1.0)]
+    t = spark.createDataFrame(odd, "t double, dof double")
+    assert all(r.p is None for r in t.select(student_tail(F.col("t"), F.col("dof")).alias("p")).collect())
+
+
+def test_chi2_tail_matches_tables(spark):
+    table = [(3.841459, 1, 0.05), (18.307038, 10, 0.05), (124.342113, 100, 0.05), (2.0, 2, 0.36787944), (0.0, 4, 1.0), (0.1, 1, 0.75182963)]
+    t = spark.createDataFrame([(a, b, c) for a, b, c in table], "x double, dof long, p double")
+    for r in t.select("p", chi2_tail(F.col("x"), F.col("dof")).alias("got")).collect():
+        assert r.got == pytest.approx(r.p, abs=1e-7)
+    assert t.select(chi2_tail(F.col("x"), F.lit(0)).alias("p")).first().p is None
+
+
+def test_margins_and_values_of_the_same_name_stay_apart(spark):
+    t = spark.createDataFrame([("All", "x"), ("All", "null"), (None, "x"), ("null", None), ("q", "All")], "a string, b string")
+    got = {(r.all_a, r.a, r.all_b, r.b): (r.n, r.row_pct) for r in Q.crosstab_margins(t, F.col("a"), F.col("b")).collect()}
+    assert got[False, "All", True, "All"] == (2, 100.0) and got[False, "All", False, "x"] == (1, 50.0)
+    assert got[True, "All", False, "x"] == (2, 40.0) and got[True, "All", True, "All"] == (5, 100.0)
+    assert got[False, None, True, "All"] == (1, 100.0) and got[False, "null", False, None] == (1, 100.0)
+    assert got[True, "All", False, "All"] == (1, 20.0) and len(got) == 5 + 4 + 4 + 1
 
 
 def test_chi2_forms_agree(sample):
