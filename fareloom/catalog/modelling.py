@@ -318,6 +318,27 @@ def validate(spark, d):
     return checked.select(KEY, "store_and_fwd_flag", F.array_join("violations", ",").alias("violations"), "is_valid")
 
 
+@query("validate_json_requests")
+def validate_json_requests(spark, d):
+    """Requests as JSON text: a passenger count that is null, one that is left out, a fare that is no number."""
+    r = J.requests_from_trips(trips(spark, d), ids=(KEY, "DOLocationID")).withColumn("passenger_count", F.col("passenger_count").cast("int"))
+    do = F.col("DOLocationID")
+    fields = [c for c in r.columns if c not in (KEY, "DOLocationID")]
+
+    def body(*but, **changed):
+        return F.to_json(F.struct(*[changed.get(c, F.col(c)).alias(c) for c in fields if c not in but]), {"ignoreNullFields": "false"})
+
+    text = (
+        F.when(do % 5 == 0, body(passenger_count=F.lit(None).cast("int")))
+        .when(do % 3 == 0, body("passenger_count", "tolls_amount"))
+        .when(do % 13 == 0, body(fare_amount=F.lit("n/a")))
+        .when(do % 17 == 0, F.lit("[1, 2]"))
+        .otherwise(body())
+    )
+    checked = validate_requests(J.parse_requests(r.select(KEY, text.alias("body"))))
+    return checked.select(KEY, "passenger_count", "tolls_amount", F.array_join("violations", ",").alias("violations"), "is_valid")
+
+
 @query("validate_requests_strict")
 def validate_strict(spark, d):
     checked = validate_requests(planted_requests(spark, d), strict=True)

@@ -311,6 +311,7 @@ RULES = {
     "RatecodeID": "RatecodeID BETWEEN 1 AND 6",
     "store_and_fwd_flag": "store_and_fwd_flag IN ('Y', 'N')",
     "payment_type": "payment_type BETWEEN 1 AND 6",
+    "fare_amount": "fare_amount IS NOT NULL",
     "tip_amount": "tip_amount >= 0",
     "tolls_amount": "tolls_amount >= 0",
 }
@@ -330,6 +331,26 @@ def violations(rules: dict[str, str]) -> str:
 SQL["validate_requests"] = f"""{REQUESTS}
 SELECT trip_id, store_and_fwd_flag, {violations(RULES)} AS violations, {violations(RULES)} = '' AS is_valid
 FROM timed_requests"""
+SQL["validate_json_requests"] = f"""{TRIPS}
+, sent AS (
+  SELECT trip_id, DOLocationID % 5 = 0 AS nulled, DOLocationID % 5 <> 0 AND DOLocationID % 3 = 0 AS left_out,
+    DOLocationID % 5 <> 0 AND DOLocationID % 3 <> 0 AND DOLocationID % 13 = 0 AS unread,
+    DOLocationID % 5 <> 0 AND DOLocationID % 3 <> 0 AND DOLocationID % 13 <> 0 AND DOLocationID % 17 = 0 AS corrupt, * EXCLUDE (trip_id)
+  FROM trips)
+, read AS (
+  SELECT trip_id, corrupt,
+    CASE WHEN corrupt OR nulled THEN NULL WHEN left_out THEN 1 ELSE CAST(coalesce(passenger_count, 1) AS INT) END AS passenger_count,
+    CASE WHEN corrupt THEN NULL WHEN left_out THEN 0 ELSE tolls_amount END AS tolls_amount,
+    CASE WHEN NOT corrupt AND NOT unread THEN fare_amount END AS fare_amount,
+    CASE WHEN NOT corrupt THEN tpep_pickup_datetime END AS picked, CASE WHEN NOT corrupt THEN tpep_dropoff_datetime END AS dropped,
+    CASE WHEN NOT corrupt THEN trip_distance END AS trip_distance, CASE WHEN NOT corrupt THEN VendorID END AS VendorID,
+    CASE WHEN NOT corrupt THEN CAST(coalesce(RatecodeID, 1) AS INT) END AS RatecodeID,
+    CASE WHEN NOT corrupt THEN coalesce(store_and_fwd_flag, 'N') END AS store_and_fwd_flag,
+    CASE WHEN NOT corrupt THEN payment_type END AS payment_type, CASE WHEN NOT corrupt THEN tip_amount END AS tip_amount
+  FROM sent)
+SELECT trip_id, passenger_count, tolls_amount, concat_ws(',', {violations(RULES).removeprefix("concat_ws(',', ").removesuffix(")")}, CASE WHEN corrupt THEN 'json' END) AS violations,
+  {violations(RULES)} = '' AND NOT corrupt AS is_valid
+FROM read"""
 SQL["validate_requests_strict"] = f"""{REQUESTS}
 SELECT trip_id, {violations(STRICT)} AS violations, {violations(STRICT)} = '' AS is_valid FROM timed_requests"""
 SQL["rejected_requests"] = f"{REQUESTS} SELECT * FROM (" + union(

@@ -22,18 +22,25 @@ def parsed_time(c: str) -> Column:
     return F.when(text.rlike(TIME_PATTERN), text.try_cast("timestamp_ntz"))
 
 
+def is_number(c: str) -> Column:
+    """Neither missing nor NaN nor infinite."""
+    x = F.col(c).cast("double")
+    return x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
+
+
 def request_rules() -> dict[str, Column]:
     return {
         "pickup_datetime": parsed_time("pickup_datetime").isNotNull(),
         "dropoff_datetime": parsed_time("dropoff_datetime").isNotNull(),
-        "trip_distance": F.col("trip_distance").isNotNull(),
+        "trip_distance": is_number("trip_distance"),
         "passenger_count": F.col("passenger_count").between(0, 4),
         "VendorID": F.col("VendorID").between(1, 2),
         "RatecodeID": F.col("RatecodeID").between(1, 6),
         "store_and_fwd_flag": F.upper("store_and_fwd_flag").isin("Y", "N"),
         "payment_type": F.col("payment_type").between(1, 6),
-        "tip_amount": F.col("tip_amount") >= 0,
-        "tolls_amount": F.col("tolls_amount") >= 0,
+        "fare_amount": is_number("fare_amount"),
+        "tip_amount": is_number("tip_amount") & (F.col("tip_amount") >= 0),
+        "tolls_amount": is_number("tolls_amount") & (F.col("tolls_amount") >= 0),
     }
 
 

@@ -32,37 +32,45 @@ CHARGE_DEFAULTS = {
 }
 
 
-def request_schema(extra: tuple[T.StructField, ...] = ()) -> T.StructType:
-    return T.StructType([*extra, *S.REQUEST_SCHEMA.fields, T.StructField(CORRUPT, T.StringType())])
-
-
 def read_requests(
     spark: SparkSession, path: str, stream: bool = False, extra: tuple[T.StructField, ...] = (), files_per_batch: int = 1000
 ) -> DataFrame:
-    """One request per JSON line; a line that does not parse is kept in ``_corrupt_record``.
+    """One request per JSON line; a line that is no JSON object is kept in ``_corrupt_record``.
 
     A stream takes up to ``files_per_batch`` files at a time, so that a backlog is not one huge batch.
     """
     reader = spark.readStream.option("maxFilesPerTrigger", files_per_batch) if stream else spark.read
-    raw = (
-        reader.schema(request_schema(extra))
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .json(path)
-    )
-    return with_request_defaults(raw)
+    lines = reader.text(path).where(F.trim("value") != "")
+    return lines.select(*request_fields(F.col("value"), extra))
 
 
 def parse_requests(t: DataFrame, body: str | Column = "body") -> DataFrame:
     """The same for JSON text that already sits in a column."""
     text = F.col(body) if isinstance(body, str) else body
-    parsed = F.from_json(
-        text, request_schema(), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    )
-    return with_request_defaults(t.withColumn("_request", parsed).select("*", "_request.*").drop("_request"))
+    return t.select("*", *request_fields(text))
+
+
+def request_fields(text: Column, extra: tuple[T.StructField, ...] = ()) -> list[Column]:
+    """The fields of a request in JSON.
+
+    A field that is left out has its default. One that is there but null, or of a type that does not fit, is
+    missing, which breaks its rule.
+    """
+    body = F.try_parse_json(text)
+    is_object = F.coalesce(F.schema_of_variant(body).startswith("OBJECT"), F.lit(False))
+    out = []
+    for f in [*extra, *S.REQUEST_SCHEMA.fields]:
+        path = f"$.{f.name}"
+        value = F.try_variant_get(body, path, f.dataType.simpleString())
+        if f.name in REQUEST_DEFAULTS:
+            left_out = F.try_variant_get(body, path, "variant").isNull()
+            value = F.when(is_object & left_out, F.lit(REQUEST_DEFAULTS[f.name]).cast(f.dataType)).otherwise(value)
+        out.append(value.alias(f.name))
+    return [*out, F.when(~is_object, text).alias(CORRUPT)]
 
 
 def with_request_defaults(r: DataFrame) -> DataFrame:
+    """Defaults for a table, in which a value that was left out and a missing one are the same."""
     return r.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in REQUEST_DEFAULTS.items()})
 
 

@@ -8,6 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from fareloom import schema as S
+from fareloom.functions.rules import request_rules, validate_requests, with_violations
 from fareloom.sources import requests as J
 from fareloom.sources import trips as IO
 from tests.conftest import plan, rows
@@ -115,3 +116,27 @@ def test_csv_is_read_by_name_and_bad_cells_are_told(spark, tmp_path):
         IO.read_trips(spark, str(path)).collect()
     told = IO.read_trips(spark, str(path), bad_cells="bad").select("fare_amount", "tip_amount", "bad")
     assert rows(told) == [(None, 1.0, ["fare_amount"]), (3.0, None, [])]
+
+
+def test_a_null_field_is_no_field_left_out(spark, tmp_path):
+    good = '"pickup_datetime": "2024-01-15 08:30:00", "dropoff_datetime": "2024-01-15 09:15:00", "trip_distance": 5.2'
+    lines = {
+        "{%s}" % good: [],
+        '{%s, "passenger_count": null}' % good: ["passenger_count"],
+        '{%s, "passenger_count": "many"}' % good: ["passenger_count"],
+        '{%s, "fare_amount": null, "tip_amount": null}' % good: ["fare_amount", "tip_amount"],
+        '{%s, "fare_amount": [1]}' % good: ["fare_amount"],
+        '{%s, "VendorID": 2, "other": {"a": 1}}' % good: [],
+        '{"trip_distance": NaN}': None,
+        "[1]": None,
+        "null": None,
+        "": None,
+    }
+    (tmp_path / "r.json").write_text("\n".join(lines))
+    checked = validate_requests(J.read_requests(spark, str(tmp_path / "r.json"))).collect()
+    assert len(checked) == 9  # an empty line is no request
+    assert [r.violations for r in checked if r.trip_distance] == [v for v in lines.values() if v is not None]
+    assert all("json" in r.violations for r in checked if not r.trip_distance)
+    t = spark.createDataFrame([(float("nan"), 1.0), (1.0, float("inf"))], "trip_distance double, fare_amount double")
+    rules = {k: v for k, v in request_rules().items() if k in t.columns}
+    assert [r.v for r in with_violations(t, rules, "v").collect()] == [["trip_distance"], ["fare_amount"]]
