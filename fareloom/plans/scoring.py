@@ -15,6 +15,7 @@ from fareloom.functions.rules import parsed_time
 from fareloom.operators.profile import n_rows, prediction_stats
 from fareloom.plans.models import PREDICTION
 from fareloom.sources.requests import CHARGE_DEFAULTS
+from fareloom.sources.versions import Store, replace_folder
 
 
 class RowCountChanged(RuntimeError):
@@ -48,16 +49,21 @@ def write_scored(t: DataFrame, model: PipelineModel, path: str, **kw) -> int:
     scored = score_batch(counted, model, **kw).observe(after, n_rows().alias("n"))
     beside = f"{path.rstrip('/')}-{uuid.uuid4().hex}"
     scored.write.parquet(beside)
-    spark = t.sparkSession
-    new, old = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (beside, path))
-    files = old.getFileSystem(spark._jsc.hadoopConfiguration())
+    check_row_count(before, after)
+    replace_folder(t.sparkSession, beside, path)
+    return after.get["n"]
+
+
+def check_row_count(before: Observation, after: Observation) -> None:
     if before.get["n"] != after.get["n"]:
-        files.delete(new, True)
         raise RowCountChanged(f"{before.get['n']} rows in, {after.get['n']} rows out")
-    files.delete(old, True)
-    if not files.rename(new, old):
-        raise OSError(f"{beside} could not take the place of {path}")
-    return after.get["n"]
+
+
+def publish_scored(t: DataFrame, model: PipelineModel, store: Store, **kw) -> int:
+    """Score and write as the store's next version, in one pass; what was current stays so if rows were lost or added."""
+    before, after = Observation("read"), Observation("written")
+    scored = score_batch(t.observe(before, n_rows().alias("n")), model, **kw).observe(after, n_rows().alias("n"))
+    return store.publish({"data": scored}, check=lambda: check_row_count(before, after))
 
 
 def pred_vs_actual(scored: DataFrame, ids: tuple[str, ...], label: str = S.TARGET, name: str = S.PREDICTED) -> DataFrame:

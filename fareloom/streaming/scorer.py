@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from fareloom.functions.rules import accepted, rejected, validate_requests
 from fareloom.plans.scoring import run_metrics, score_requests
 from fareloom.sources.requests import read_requests
+from fareloom.sources.versions import Store
 
 
 def score_micro_batch(
@@ -27,16 +28,19 @@ def score_micro_batch(
     ids: tuple[str, ...] = (),
     strict: bool = False,
 ) -> None:
-    """Write one micro-batch. Each batch owns its folder, so a repeated batch replaces itself."""
+    """Write one micro-batch as version ``batch_id`` of the store at ``out``.
+
+    Its three parts become visible together; a batch that is repeated after that changes nothing, and what one that
+    died before left behind is never read.
+    """
     checked = validate_requests(batch, strict).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        scored = score_requests(accepted(checked), model, version, ids)
-        part = f"batch_id={batch_id}"
-        scored.write.mode("overwrite").parquet(f"{out}/scored/{part}")
-        rejected(checked).write.mode("overwrite").parquet(f"{out}/rejected/{part}")
-        written = batch.sparkSession.read.schema(scored.schema).parquet(f"{out}/scored/{part}")
-        stats = run_metrics(written, f"batch-{batch_id}", "stream", version, "predicted_fare")
-        stats.write.mode("overwrite").parquet(f"{out}/metrics/{part}")
+        parts = {
+            "scored": score_requests(accepted(checked), model, version, ids),
+            "rejected": rejected(checked),
+            "metrics": lambda written: run_metrics(written["scored"], f"batch-{batch_id}", "stream", version, "predicted_fare"),
+        }
+        Store(batch.sparkSession, out).publish(parts, number=batch_id)
     finally:
         checked.unpersist()
 
@@ -70,5 +74,5 @@ def stream_scores(
 
 
 def read_scored(spark: SparkSession, out: str, what: str = "scored") -> DataFrame:
-    """Everything the stream has written so far."""
-    return spark.read.option("mergeSchema", False).parquet(f"{out}/{what}")
+    """Everything the stream has committed so far: ``scored``, ``rejected`` or ``metrics``."""
+    return Store(spark, out).read_all(what)
