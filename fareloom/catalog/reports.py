@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from fareloom import schema as S
 from fareloom.catalog.registry import query, rounded
 from fareloom.functions import features as X
+from fareloom.operators import incremental as G
 from fareloom.operators import profile as P
 from fareloom.operators import quality as Q
 from fareloom.operators import sampling as R
@@ -426,3 +427,30 @@ def welch_t(spark, d):
 @query("welch_test")
 def welch_test(spark, d):
     return rounded(A.welch_test(with_duration(spark, d), gaps()), 5)
+
+
+# -- reports that grow -----------------------------------------------------------------
+
+
+def monthly_states(spark, d):
+    """What each pickup month leaves behind, appended month by month to a stored table."""
+    t = with_duration(spark, d)
+    month = F.date_format(S.PICKUP, "yyyy-MM")
+    return settle(G.period_states(t, month, S.KEY_NUMERIC, ["trip_id", "payment_type"]), "month-states")
+
+
+@query("incremental_summary")
+def incremental_summary(spark, d):
+    """Counts and moments of all trips from the rows that the months left, without another scan."""
+    found = G.merged(monthly_states(spark, d)).where(F.col("column").isin(*S.KEY_NUMERIC))
+    return rounded(found.select("column", "count", "mean", "std", "min", "max"), 4)
+
+
+@query("approx_distinct")
+def approx_distinct(spark, d):
+    """Whether merged sketches come within 3 % of the exact distinct counts."""
+    cols = [*S.KEY_NUMERIC, "trip_id", "payment_type"]
+    exact = P.distinct_counts(with_duration(spark, d), cols).withColumnRenamed("distinct", "exact")
+    near = G.merged(monthly_states(spark, d)).select("column", "distinct")
+    within = F.abs(F.col("distinct") - F.col("exact")) <= 0.03 * F.col("exact")
+    return exact.join(near, "column").select("column", "exact", within.alias("within"))
