@@ -165,6 +165,19 @@ def onehot_long(spark, d):
     return E.onehot_long(t, E.fit_categories(t, S.MODEL_CATEGORICAL), (KEY,))
 
 
+@query("onehot_table")
+def onehot_table(spark, d):
+    """Indicators of columns with any number of values: per column its categories, its cells, and whether slots are 0 to n - 1."""
+    t, cols = trips(spark, d).select(KEY, "payment_type", "passenger_count"), [KEY, "payment_type", "passenger_count"]
+    table = E.fit_category_table(t, cols)
+    cells = E.onehot_rows(t.withColumn("row", F.col(KEY)), table, cols, ("row",))
+    found = cells.groupBy("column").agg(
+        F.count_distinct("category").alias("categories"), P.n_rows().alias("cells"), F.min("slot").alias("low"), F.max("slot").alias("high"), F.count_distinct("slot").alias("slots")
+    )
+    dense = (F.col("low") == 0) & (F.col("high") == F.col("categories") - 1) & (F.col("slots") == F.col("categories"))
+    return found.select("column", "categories", "cells", dense.alias("dense"))
+
+
 @query("onehot_drop_first")
 def onehot_drop_first(spark, d):
     t = coded(spark, d)

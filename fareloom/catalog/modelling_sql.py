@@ -405,3 +405,8 @@ scored AS (SELECT *, lg * lg / (lh + 1) + (ag - lg) ^ 2 / (ah - lh + 1) - ag * a
 SELECT feature, bin, round(gain, 4) AS gain, lh::BIGINT AS left_rows, round(-lg / (lh + 1), 4) AS left_value,
   round(-(ag - lg) / (ah - lh + 1), 4) AS right_value
 FROM scored ORDER BY scored.gain DESC, feature, bin LIMIT 1"""
+
+SQL["onehot_table"] = f"{TRIPS} SELECT * FROM (" + union(
+    f"""SELECT '{c}' AS "column", count(DISTINCT {c}) AS categories, count(*) AS cells, true AS dense FROM trips"""
+    for c in ("trip_id", "payment_type", "passenger_count")
+) + ")"

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fareloom.functions.exprs import clip
@@ -18,7 +18,10 @@ from fareloom.operators.profile import n_rows
 from fareloom.operators.quantiles import fit_modes, fit_quantiles, melt
 from fareloom.session import settle
 
+#: Most categories of a column whose indicators are named on the driver; ``fit_category_table`` has no limit.
 MAX_CATEGORIES = 10_000
+#: Parts in which the categories of one column are numbered.
+SLOT_BUCKETS = 256
 
 
 # -- frequency of a key ---------------------------------------------------------------
@@ -180,24 +183,71 @@ def fit_categories(
     """Learn the categories of each column.
 
     Missing values become ``fill``, or the most frequent value when it is None. A column
-    with more than ``max_categories`` values is refused rather than cut short: encode
-    such keys by frequency instead.
+    with more than ``max_categories`` values is refused rather than cut short:
+    such keys have ``fit_category_table``, or are encoded by frequency.
     """
-    counts = melt(train, cols, kind="string").groupBy("column", "value").agg(n_rows().alias("n"))
-    bound = max_categories * len(cols)
-    rows = counts.limit(bound + len(cols) + 1).collect()
+    counts = settle(melt(train, cols, kind="string").groupBy("column", "value").agg(n_rows().alias("n")), "category-counts")
+    for r in counts.groupBy("column").agg(F.count("value").alias("n")).collect():
+        if r["n"] > max_categories:
+            raise ValueError(f"{r['column']} has {r['n']} categories, more than {max_categories}")
+    rows = counts.collect()
     known: dict[str, list[str]] = {}
     fills: dict[str, str] = {}
     for c in cols:
         mine = {r["value"]: r["n"] for r in rows if r["column"] == c and r["value"] is not None}
         gap = any(r["column"] == c and r["value"] is None for r in rows)
-        if len(mine) > max_categories or len(rows) > bound + len(cols):
-            raise ValueError(f"{c} may have more than {max_categories} categories")
         fills[c] = fill if fill is not None else min(mine, key=lambda v: (-mine[v], v), default="")
         known[c] = sorted(set(mine) | ({fills[c]} if gap else set()))
     return Categories(fills, known)
 
 
+def fit_category_table(train: DataFrame, cols: Sequence[str], fill: str | None = None) -> DataFrame:
+    """(column, category, slot, fill) for columns with any number of categories, as a stored table.
+
+    Missing values become ``fill``, or the most frequent value, on a tie the first by name, when it is None. Slots
+    number a column's categories from 0, in the order of a hash bucket and then of the category: numbers within a
+    bucket and counts of the buckets before it, so no column meets in one task.
+    """
+    counts = settle(melt(train, cols, kind="string").groupBy("column", "value").agg(n_rows().alias("n")), "category-counts")
+    present = counts.where("value is not null")
+    if fill is None:
+        top = present.groupBy("column").agg(F.min_by("value", F.struct(-F.col("n"), F.col("value"))).alias("fill"))
+    else:
+        top = counts.select("column", F.lit(fill).alias("fill")).distinct()
+    gaps = counts.where("value is null").join(top, "column").select("column", F.col("fill").alias("category"))
+    found = present.select("column", F.col("value").alias("category")).union(gaps).distinct()
+    found = found.withColumn("bucket", F.pmod(F.xxhash64("category"), F.lit(SLOT_BUCKETS)))
+    inside = F.row_number().over(Window.partitionBy("column", "bucket").orderBy("category")) - 1
+    sizes = found.groupBy("column", "bucket").agg(n_rows().alias("n"))
+    upto = Window.partitionBy("column").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select("column", "bucket", F.coalesce(F.sum("n").over(upto), F.lit(0)).alias("before"))
+    slots = found.withColumn("inside", inside).join(before, ["column", "bucket"])
+    numbered = slots.select("column", "category", (F.col("before") + F.col("inside")).cast("long").alias("slot"))
+    return settle(numbered.join(top, "column", "left"), "category-table")
+
+
+def onehot_rows(t: DataFrame, table: DataFrame, cols: Sequence[str], ids: Sequence[str]) -> DataFrame:
+    """``ids`` + (column, category, slot, value = 1), one row per set indicator; an unseen category sets none.
+
+    The category table is joined, not held on the driver; its size decides how.
+    """
+    fills = {r["column"]: r["fill"] for r in table.select("column", "fill").distinct().collect()}  # one per column
+    cells = [F.struct(F.lit(c).alias("column"), F.coalesce(F.col(c).cast("string"), F.lit(fills.get(c))).alias("category")) for c in cols]
+    return t.select(*ids, F.inline(F.array(*cells))).join(table.drop("fill"), ["column", "category"]).select(*ids, "column", "category", "slot", F.lit(1).alias("value"))
+
+
+def onehot_vectors(t: DataFrame, table: DataFrame, cols: Sequence[str], ids: Sequence[str], output: str = "features") -> DataFrame:
+    """``ids`` + a sparse vector as (size, indices, values), the columns' slots one after the other in the order of ``cols``."""
+    widths = {r["column"]: r["n"] for r in table.groupBy("column").agg(n_rows().alias("n")).collect()}
+    begin, total = {}, 0
+    for c in cols:
+        begin[c], total = total, total + widths.get(c, 0)
+    shift = F.create_map(*[F.lit(x) for c in cols for x in (c, begin[c])])[F.col("column")]
+    rows = onehot_rows(t, table, cols, ids).select(*ids, (F.col("slot") + shift).alias("at"))
+    held = F.array_sort(F.collect_list("at"))
+    return rows.groupBy(*ids).agg(F.struct(F.lit(total).alias("size"), held.alias("indices"), F.transform(held, lambda _: F.lit(1.0)).alias("values")).alias(output))
+
+
 def onehot_long(
     t: DataFrame, fitted: Categories, ids: Sequence[str], drop_first: bool = False
 ) -> DataFrame:

@@ -83,3 +83,27 @@ def test_trip_encoder_slots(spark, style):
 def test_mode_fill(spark):
     t = spark.createDataFrame([(2.0,), (2.0,), (1.0,), (None,)], "passenger_count double")
     assert [r[0] for r in rows(E.mode_fill(t))] == [2.0, 2.0, 1.0, 2.0]
+
+
+def test_category_table_has_no_limit(spark):
+    train = spark.range(50_000).select(F.concat(F.lit("k"), F.col("id")).alias("many"), F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("few"))
+    table = E.fit_category_table(train, ["many", "few"])
+    slots = {c: sorted(r.slot for r in table.where(F.col("column") == c).collect()) for c in ("many", "few")}
+    assert slots == {"many": list(range(50_000)), "few": [0, 1]}
+    with pytest.raises(ValueError, match="^many has 50000"):
+        E.fit_categories(train, ["few", "many"])
+    other = spark.createDataFrame([(1, "k7", None), (2, "unseen", 2), (3, None, 9)], "id int, many string, few int")
+    got = sorted((r.id, r.column, r.category) for r in E.onehot_rows(other, table, ["many", "few"], ["id"]).collect())
+    assert got == [(1, "few", "1"), (1, "many", "k7"), (2, "few", "2"), (3, "many", "k0")]
+    vectors = {r.id: r.features for r in E.onehot_vectors(other, table, ["few", "many"], ["id"]).collect()}
+    assert all(v["size"] == 50_002 for v in vectors.values())
+    assert len(vectors[1]["indices"]) == 2 and vectors[1]["indices"] == sorted(vectors[1]["indices"]) and vectors[1]["values"] == [1.0, 1.0]
+    assert vectors[2]["indices"][0] < 2 <= vectors[3]["indices"][0]
+
+
+def test_category_table_fills_and_empty_columns(spark):
+    t = spark.createDataFrame([("b", None), ("a", None), (None, None)], "x string, y string")
+    named = {(r.column, r.category): r.slot for r in E.fit_category_table(t, ["x", "y"], "MISSING").collect()}
+    assert set(named) == {("x", "a"), ("x", "b"), ("x", "MISSING"), ("y", "MISSING")} and named["y", "MISSING"] == 0
+    assert {r.fill for r in E.fit_category_table(t, ["x"]).collect()} == {"a"}
+    assert E.fit_category_table(t.limit(0), ["x"]).count() == 0
