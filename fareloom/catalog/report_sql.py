@@ -549,3 +549,10 @@ SQL["incremental_summary"] = f"{TIMED} " + union(
 SQL["approx_distinct"] = f"{TIMED} " + union(
     f"""SELECT '{c}' AS "column", count(DISTINCT {c}) AS exact, true AS within FROM timed""" for c in [*S.KEY_NUMERIC, "trip_id", "payment_type"]
 )
+
+SQL["shuffled_rows"] = SQL["shuffle_order"]
+SQL["read_two_periods"] = f"""{TRIPS}
+SELECT CASE WHEN year(tpep_pickup_datetime) < 1998 THEN 'early' ELSE 'late' END AS period,
+  count(*) AS trips, min(tpep_pickup_datetime) AS first_pickup, max(tpep_pickup_datetime) AS last_pickup,
+  round(avg(total_amount), 6) AS mean_total, count(Airport_fee) FILTER (year(tpep_pickup_datetime) < 1998) AS fees
+FROM trips GROUP BY 1"""

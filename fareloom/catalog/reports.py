@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from fareloom import schema as S
@@ -119,6 +120,35 @@ def narrow_types(spark, d):
     return narrow.agg(*[e.alias(c) for c, e in checks.items()]).select("*", *kinds)
 
 
+@query("shuffled_rows")
+def shuffled_rows(spark, d):
+    """Where each row lies when the table is read in its shuffled order: rows of earlier partitions, then places in its own."""
+    placed = R.shuffle_order(trips(spark, d).select("trip_id"), "trip_id", seed=47).withColumn("id", F.monotonically_increasing_id())
+    placed = settle(placed.select("trip_id", F.shiftright("id", 33).alias("part"), F.col("id").bitwiseAND((1 << 33) - 1).alias("place")), "shuffled")
+    upto = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row per partition
+    before = placed.groupBy("part").count().select("part", F.coalesce(F.sum("count").over(upto), F.lit(0)).alias("before"))
+    return placed.join(before, "part").select("trip_id", (F.col("before") + F.col("place") + 1).alias("position"))
+
+
+@query("read_two_periods")
+def read_two_periods(spark, d):
+    """Two periods in folders of their own, the later one without a column, read as one table."""
+    t, early = trips(spark, d), F.year(S.PICKUP) < 1998
+    paths = {name: scratch_path(spark, f"period-{name}") for name in ("early", "late")}
+    IO.write_trips(t.where(early), paths["early"])
+    IO.write_trips(t.where(~early).drop("Airport_fee"), paths["late"])
+    both = IO.read_periods(spark, paths)
+    return rounded(
+        both.groupBy("period").agg(
+            P.n_rows().alias("trips"),
+            F.min(S.PICKUP).alias("first_pickup"),
+            F.max(S.PICKUP).alias("last_pickup"),
+            F.avg("total_amount").alias("mean_total"),
+            F.count("Airport_fee").alias("fees"),
+        )
+    )
+
+
 @query("two_period_union")
 def two_period_union(spark, d):
     t = trips(spark, d)

@@ -87,7 +87,12 @@ def describe_categorical(
 def shape_stats(t: DataFrame, cols: Sequence[str] = tuple(S.KEY_NUMERIC), exact: bool = True) -> DataFrame:
     """Median, mode, bias-corrected skewness and excess kurtosis of each column."""
     q = fit_quantiles(t, cols, (0.5,), exact)
-    top = {r["column"]: r["mode"] for r in modes(value_counts(t, cols)).collect()}
+    whole = {f.name for f in t.schema.fields if isinstance(f.dataType, T.IntegralType)}
+    top = {}
+    # Integers are counted as integers, since above 2^53 several of them are one double.
+    for kind, part in (("double", [c for c in cols if c not in whole]), ("decimal(20,0)", [c for c in cols if c in whole])):
+        if part:
+            top |= {r["column"]: r["mode"] for r in modes(value_counts(t, part, kind=kind)).collect()}
 
     def stats(c: str) -> dict[str, Column]:
         n = F.count(c).cast("double")
@@ -97,7 +102,7 @@ def shape_stats(t: DataFrame, cols: Sequence[str] = tuple(S.KEY_NUMERIC), exact:
         kurt = (F.when(spread, F.kurtosis(c)) * (n + 1) + 6) * (n - 1)
         return {
             "median": number(q[c][0]),
-            "mode": number(top.get(c)),
+            "mode": number(None if (m := top.get(c)) is None else float(m)),
             "skewness": ratio(skew, n - 2),
             "kurtosis": ratio(kurt, (n - 2) * (n - 3)),
         }
@@ -470,18 +475,15 @@ def near_constant(t: DataFrame, cols: Sequence[str], top_share: float = 0.99) ->
     Two values are all there is exactly when every present row equals the minimum or the
     maximum, so plain aggregates answer this and no value list is built.
     """
-    ends = t.agg(
-        *[f(F.col(c).cast("double")).alias(f"{n}{i}") for i, c in enumerate(cols) for n, f in (("lo", F.min), ("hi", F.max))]
-    ).first()
+    ends = t.agg(*[f(F.col(c)).alias(f"{n}{i}") for i, c in enumerate(cols) for n, f in (("lo", F.min), ("hi", F.max))]).first()
 
     def stats(c: str) -> dict[str, Column]:
         i = list(cols).index(c)
-        lo, hi = ends[f"lo{i}"], ends[f"hi{i}"]
-        x = F.col(c).cast("double")
+        lo, hi = (F.lit(ends[f"{n}{i}"]).cast(t.schema[c].dataType) for n in ("lo", "hi"))  # in the column's own type
         return {
             "present": F.count(c),
-            "at_min": F.count_if(x == number(lo)),
-            "at_max": F.count_if(x == number(hi)) if lo != hi else F.lit(0).cast("bigint"),
+            "at_min": F.count_if(F.col(c) == lo),
+            "at_max": F.count_if((F.col(c) == hi) & (lo != hi)),
         }
 
     top = F.greatest("at_min", "at_max")

@@ -29,6 +29,11 @@ def sql_text(x: str) -> str:
     return "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def flag_quantile(rows: int, zeros: int, q: float) -> float:
+    """Quantile of a column of ``zeros`` zeros and otherwise ones, interpolated between its neighbours."""
+    return min(1.0, max(0.0, q * (rows - 1) - (zeros - 1))) if rows and zeros else float(rows > 0)
+
+
 class TripEncoder(Estimator):
     """Fits the encoding of a feature table and returns a ``PipelineModel``.
 
@@ -99,16 +104,17 @@ class TripEncoder(Estimator):
         capped = E.apply_caps(train.select(*self.numeric), caps)
         gaps = E.fit_gaps(capped, self.numeric, exact=self.exact)
         scale = E.fit_robust(E.apply_gaps(capped, gaps, indicator=False), self.numeric, self.exact)
+        sizes = train.agg(F.count(F.lit(1)).alias("rows"), *[F.count(F.col(c)).alias(f"n{i}") for i, c in enumerate(self.numeric)]).first()
         out = {}
-        for c in self.numeric:
+        for i, c in enumerate(self.numeric):
             (lo, hi), (q1, q2, q3) = caps[c], scale[c]
             x = f"CAST(`{c}` AS DOUBLE)"
             if lo is not None:
                 x = f"greatest({sql_number(lo)}, least({sql_number(hi)}, {x}))"
             x = f"CASE WHEN `{c}` IS NULL THEN {sql_number(gaps.median[c])} ELSE {x} END"
             out[f"scaled_{c}"] = f"({x} - {sql_number(q2)}) / {sql_number((q3 - q1) or 1.0)}"
-            # The flag is nearly always 0, so its median is 0 and its range counts as 1.
-            out[f"missing_{c}"] = f"CAST(`{c}` IS NULL AS DOUBLE)"
+            f1, f2, f3 = (flag_quantile(sizes["rows"], sizes[f"n{i}"], q) for q in (0.25, 0.5, 0.75))
+            out[f"missing_{c}"] = f"(CAST(`{c}` IS NULL AS DOUBLE) - {sql_number(f2)}) / {sql_number((f3 - f1) or 1.0)}"
         return out
 
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fareloom.operators import encode as E
-from fareloom.plans.encoder import TripEncoder, slot_names, slot_table
+from fareloom.plans.encoder import TripEncoder, flag_quantile, slot_names, slot_table
 from tests.conftest import rows
 
 
@@ -107,3 +107,14 @@ def test_category_table_fills_and_empty_columns(spark):
     assert set(named) == {("x", "a"), ("x", "b"), ("x", "MISSING"), ("y", "MISSING")} and named["y", "MISSING"] == 0
     assert {r.fill for r in E.fit_category_table(t, ["x"]).collect()} == {"a"}
     assert E.fit_category_table(t.limit(0), ["x"]).count() == 0
+
+
+def test_missing_flag_is_centred_and_scaled_like_any_number(spark):
+    import numpy as np
+
+    for missing in (0, 10, 30, 55, 60, 80, 100):
+        flag = np.array([0.0] * (100 - missing) + [1.0] * missing)
+        assert [flag_quantile(100, 100 - missing, q) for q in (0.25, 0.5, 0.75)] == pytest.approx(np.quantile(flag, [0.25, 0.5, 0.75]))
+    t = spark.createDataFrame([(float(i) if i % 5 < 2 else None, "a" if i % 2 else "b") for i in range(100)], "x double, s string")
+    got = TripEncoder(["x"], ["s"], "robust").fit(t).transform(t)
+    assert {(r.x is None, r.missing_x) for r in got.collect()} == {(True, 0.0), (False, -1.0)}

@@ -139,3 +139,12 @@ def test_regression_metrics_by_hand(spark):
     r = A.regression_metrics(t, "y", "p").first()
     assert (r["n"], r["mse"], r["mae"]) == (3, pytest.approx(5 / 3), pytest.approx(1.0))
     assert r["r2"] == pytest.approx(1 - 5 / 8)
+
+
+def test_near_constant_and_modes_keep_large_integers_and_texts(spark):
+    big = 1 << 60
+    t = spark.createDataFrame([(big + 1, "a", True, None)] * 150 + [(big + 2, "b", True, None)], "n long, s string, b boolean, e string")
+    got = {r.feature: (r.distinct, r.top_share) for r in P.near_constant(t, ["n", "s", "b", "e"]).collect()}
+    assert got == {"n": (2, 150 / 151), "s": (2, 150 / 151), "b": (1, 1.0), "e": (0, None)}
+    three = spark.createDataFrame([(big,)] * 2 + [(big + 1,)] * 2 + [(5,)] * 3, "n long")
+    assert P.shape_stats(three, ["n"]).first()["mode"] == 5.0
