@@ -39,7 +39,8 @@ class Store:
         finally:
             stream.close()
 
-    def _claim(self, number: int | None) -> int:
+    def claim(self, number: int | None = None) -> int:
+        """Take the next number; no other writer gets it."""
         self._files.mkdirs(self._log)
         if number is not None:
             return number
@@ -72,7 +73,7 @@ class Store:
         """
         if number is not None and number in self.numbers():
             return number
-        number = self._claim(number)
+        number = self.claim(number)
         folders, written = {}, {}
         for name, part in parts.items():
             df = part(written) if callable(part) else part
