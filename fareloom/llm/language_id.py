@@ -36,12 +36,16 @@ MIN_MARGIN = 0.002
 #: Bits of difference that count as one step of the score.
 SOFTNESS = 16
 #: Numerals such as halves, circled and Roman ones count as word characters but are no letters.
-_NUMERALS = "".join(map(chr, (c for c in range(1 << 17) if unicodedata.category(chr(c)) in ("No", "Nl"))))
-_NOT_LETTERS = re.compile(rf"[\W\d_{_NUMERALS}]+")
+_NUMERALS = {c: " " for c in map(chr, range(1 << 17)) if unicodedata.category(c) in ("No", "Nl")}
+_BLANKED = str.maketrans(_NUMERALS)
+_NOT_LETTERS = re.compile(r"[\W\d_]+")
 
 
 def plain(text: str) -> bytes:
-    return _NOT_LETTERS.sub(" ", text.lower()).strip().encode("utf-8", "replace")
+    low = text.lower()
+    if not low.isascii() and not _NUMERALS.keys().isdisjoint(low):
+        low = low.translate(_BLANKED)
+    return _NOT_LETTERS.sub(" ", low).strip().encode("utf-8", "replace")
 
 
 def held_out(id_col: str) -> Column:
