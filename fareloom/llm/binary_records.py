@@ -36,9 +36,9 @@ from fareloom.session import scratch_path
 MASK = 0xA282EAD8
 ENTRY = np.dtype([("doc_id", "<i8"), ("missing", "<u1"), ("offset", "<u8"), ("tokens", "<u8")])
 #: Encoded words that a Python worker remembers.
-REMEMBERED = 600_000
+REMEMBERED = 500_000
 #: Bytes of text that are cut into words at a time; the more, the rarer a word is met again in the next.
-TOGETHER = 12 << 20
+TOGETHER = 8 << 20
 #: Bytes of text that a file holds about, where there is enough text.
 FILE_BYTES = 128 << 20
 
