@@ -162,18 +162,19 @@ def fit(good: np.ndarray, web: np.ndarray, prior: float | None = None, steps: in
     mean = web.mean(axis=0)
     scale = 1 / np.maximum(web.std(axis=0), 1e-2)
     scale[: web.shape[1] - SHARES] = 20.0
-    good, web = (((x - mean) * scale).astype(np.float32) for x in (good, web))
+    mean, scale = mean.astype(np.float32), scale.astype(np.float32)
+    good, web = ((x - mean) * scale for x in (good, web))
     prior = class_prior(good, web) if prior is None else prior
     w, bias = _descend(good.shape[1], lambda w: risk(w, good, web, prior)[2] + np.append(RIDGE * w[:-1], 0), steps)
     return Model(w, bias, prior, mean, scale)
 
 
 def _features(docs: DataFrame, keep: str) -> DataFrame:
-    """(keep, x): the features of every text as single-precision bytes."""
+    """(keep, x): the features of every text as half-precision bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
-            x = [features(t).tobytes() for t in texts(batch.column("text"))]
+            x = [features(t).astype(np.float16).tobytes() for t in texts(batch.column("text"))]
             yield pa.RecordBatch.from_arrays([batch.column("good"), pa.array(x)], ["good", "x"])
 
     return docs.select(F.col(keep).alias("good"), "text").mapInArrow(run, "good boolean, x binary")
@@ -208,8 +209,9 @@ def learn(
         parts.append(chosen.select(F.lit(name == "good").alias("good"), "text", "at"))
     chosen = settle(parts[0].union(parts[1]), "quality-sample").select("good", "text")
     found = _features(chosen, "good").orderBy("x").collect()
-    good_x, web_x = ([np.frombuffer(r.x, np.float32) for r in found if r.good == side] for side in (True, False))
-    return fit(np.array(good_x), np.array(web_x))
+    good_x, web_x = ([np.frombuffer(r.x, np.float16) for r in found if r.good == side] for side in (True, False))
+    del found
+    return fit(np.array(good_x, np.float32), np.array(web_x, np.float32))
 
 
 def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
