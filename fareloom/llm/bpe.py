@@ -181,12 +181,19 @@ def _added(df: DataFrame, kinds: dict[str, str]) -> StructType:
 
 
 def encode(
-    docs: DataFrame, ranks: bytes, pattern: str, text_col: str = "text", out: str = "ids", decoded: str | None = None
+    docs: DataFrame,
+    ranks: bytes,
+    pattern: str,
+    text_col: str = "text",
+    out: str = "ids",
+    decoded: str | None = None,
+    remembered: int = REMEMBERED,
 ) -> DataFrame:
     """``docs`` with the ids of ``text_col`` as array<int> ``out``; a missing or empty text has none.
 
     With ``decoded``, a binary column of that name holds what the ids decode to, from the same pass.
-    ``ranks`` is the content of a rank file, which has a fixed size. Columns that already have
+    ``ranks`` is the content of a rank file, which has a fixed size; ``remembered`` bounds the pieces that a worker
+    keeps. Columns that already have
     such a name are replaced.
     """
     ship(docs.sparkSession)
@@ -196,6 +203,7 @@ def encode(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(held.value, pattern)
+        encoder.parts.most = remembered // 2
         for batch in pieces(batches, text_col, 2 << 20):
             found = encoder(strings(batch.column(place)))
             ends = np.concatenate(([0], np.cumsum([len(i) for i in found]))).astype(np.int32)

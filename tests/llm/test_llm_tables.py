@@ -193,7 +193,7 @@ def test_pipeline_equals_its_stages_one_by_one(spark, awkward):
     assert {r.doc_id for r in at[0]} == known and {r[0] for r in rows[:160]} <= known
     assert {r.doc_id for r in at[1]} <= {r.doc_id for r in at[0]} and not {r.doc_id for r in at[1]} & set(range(200, 220))
     assert len({bytes(r.digest) for r in exact_dedup.flags(spark.createDataFrame(at[0])).collect()}) == len(at[1])
-    fps = {r.doc_id: simhash.fingerprints_of((r.text or "").encode(), 2, 4) for r in at[1]}
+    fps = {r.doc_id: simhash.fingerprints_of((r.text or "").encode(), 2, 3) for r in at[1]}
     root = {i: i for i in fps}
 
     def find(i):
