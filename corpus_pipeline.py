@@ -17,6 +17,9 @@ from fareloom.llm import bpe, exact_dedup, language_id, mixing, simhash
 from fareloom.llm.common import read, settle
 from fareloom.llm.queries import byte_pattern, tokenizer_file
 
+#: Pieces that a worker of the last stage keeps; it runs in workers that hold what earlier stages learned.
+REMEMBERED = 200_000
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -33,11 +36,11 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays, the one with the smallest id.
 
-    Four fingerprints of two-word shingles, of which one has to link. In random texts of 100 to 3,000 words with
+    Three fingerprints of two-word shingles, of which one has to link. In random texts of 100 to 3,000 words with
     words replaced at random, one such fingerprint links 12 % of the pairs whose five-word similarity is 0.8, 44 % of those at
-    0.9 and 75 % of those at 0.95; README has the figures for four.
+    0.9 and 75 % of those at 0.95; README has the figures for three.
     """
-    return simhash.keep_one(docs, shingle=2, tables=4)
+    return simhash.keep_one(docs, shingle=2, tables=3)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,7 +53,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, n_tokens and ids of every document; decoding the ids gives back the text or fails."""
     ranks = tokenizer_file("byte_bpe_multi_50k.tiktoken")
-    coded = bpe.encode(docs.select("doc_id", "source", "text"), ranks, byte_pattern(), decoded="decoded")
+    coded = bpe.encode(docs.select("doc_id", "source", "text"), ranks, byte_pattern(), decoded="decoded", remembered=REMEMBERED)
     same = F.col("decoded") == F.coalesce(F.col("text"), F.lit("")).cast("binary")
     checked = F.when(same, F.col("ids")).otherwise(F.raise_error(F.lit("decoded ids differ from their text")).cast("array<int>"))
     return coded.select("doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), checked.alias("ids"))
