@@ -133,3 +133,24 @@ def test_odd_tables(spark):
     model = B.fit(same, B.Settings(trees=3))
     assert all(len(t.value) == 1 for t in model.trees)
     assert {round(r.prediction, 9) for r in model.transform(same).collect()} == {5.0}
+
+
+def test_a_batch_without_rows_of_an_open_node_adds_nothing(spark, monkeypatch):
+    x = np.repeat([[0.0, 1.0], [1.0, 0.0], [1.0, 1.0]], 200, axis=0)  # sorted: whole batches lie on one side
+    y = np.where(x[:, 0] > 0, 5.0 + x[:, 1], 0.0)
+    t = spark.createDataFrame([(a.tolist(), float(b), False, n) for n, (a, b) in enumerate(zip(x, y))], "features array<double>, total_amount double, is_validation boolean, n long").coalesce(1)
+    monkeypatch.setattr(B, "LOCAL_ROWS", 100)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 50)
+    try:
+        model = B.fit(t, B.Settings(trees=1, depth=3, rate=1.0, rows=1.0, columns=1.0), keep=("n",))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert np.abs(model.predict(x) - y).max() < 0.1
+
+
+def test_columns_of_few_bins_and_sliced_bytes():
+    import pyarrow as pa
+
+    cells = np.arange(12, dtype=np.uint8).reshape(4, 3)
+    column = pa.array([c.tobytes() for c in cells], pa.binary())
+    assert (B._bytes(column[1:3]) == cells[1:3]).all() and len(B._bytes(column[:0])) == 0
