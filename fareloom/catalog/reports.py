@@ -116,8 +116,10 @@ def narrow_types(spark, d):
     ).drop(S.PICKUP, "trip_id")
     narrow = IO.narrow_types(wide)
     kinds = [F.lit(f.dataType.simpleString()).alias(f"{f.name}_type") for f in narrow.schema.fields]
-    checks = {c: F.sum(F.col(c).cast("bigint")) for c in narrow.columns}
-    return narrow.agg(*[e.alias(c) for c, e in checks.items()]).select("*", *kinds)
+    found = settle(narrow.agg(*[F.sum(F.col(c).cast("decimal(20,0)")).alias(c) for c in narrow.columns]), "sums")
+    sums = found.first()  # one row; a sum that has outgrown 64 bits stays a decimal
+    small = {c: F.col(c).cast("bigint") for c in narrow.columns if sums[c] is None or abs(sums[c]) < 1 << 63}
+    return found.withColumns(small).select("*", *kinds)
 
 
 @query("shuffled_rows")

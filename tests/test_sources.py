@@ -140,3 +140,15 @@ def test_a_null_field_is_no_field_left_out(spark, tmp_path):
     t = spark.createDataFrame([(float("nan"), 1.0), (1.0, float("inf"))], "trip_distance double, fare_amount double")
     rules = {k: v for k, v in request_rules().items() if k in t.columns}
     assert [r.v for r in with_violations(t, rules, "v").collect()] == [["trip_distance"], ["fare_amount"]]
+
+
+def test_sums_over_64_bits_are_whole(spark, tmp_path):
+    from fareloom.catalog import QUERIES
+
+    for name, key in (("lineitem", "l_orderkey"), ("orders", "o_orderkey")):
+        t = spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet")
+        t.withColumn(key, F.col(key) + 5 * 10**9).write.parquet(str(tmp_path / f"{name}.parquet"))
+    (found,) = QUERIES["narrow_types"](spark, str(tmp_path)).collect()
+    keys = spark.read.parquet(str(tmp_path / "lineitem.parquet")).agg(F.sum("l_orderkey"), F.count("l_orderkey")).first()
+    assert found["big_key"] == keys[0] * 10**9 > 1 << 63
+    assert found["order_part"] == keys[0] + 40000 * keys[1] and found["order_part_type"] == "bigint"
