@@ -1,5 +1,7 @@
 """What the plans must look like for tables that do not fit one machine."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from fareloom.operators import profile as P
 from fareloom.operators import quality as Q
 from fareloom.operators import sampling as R
 from fareloom.operators import stats as A
+from fareloom.session import settle
 from fareloom.sources import requests as J
 from fareloom.sources.trips import write_trips
 from tests.conftest import plan
@@ -75,3 +78,11 @@ def test_reports_read_only_their_columns(spark, stored):
 def test_one_scan_per_wide_report(stored):
     for df in (Q.negative_counts(stored), P.missing_cells(stored), Q.neg_flag_summary(stored)):
         assert plan(df).count("FileScan") == 1
+
+
+def test_intermediate_tables_take_less_room_than_by_default(spark, sample, tmp_path):
+    def size(files):
+        return sum(os.path.getsize(f.removeprefix("file://").removeprefix("file:")) for f in files)
+
+    sample.coalesce(1).write.parquet(str(tmp_path / "plain"))
+    assert size(settle(sample.coalesce(1), "room").inputFiles()) < 0.9 * size(spark.read.parquet(str(tmp_path / "plain")).inputFiles())
