@@ -153,3 +153,11 @@ def test_prediction_timestamp_is_utc_text(spark, sample, boosted):
     checked = validate_requests(J.with_request_defaults(J.requests_from_trips(sample.limit(20))))
     stamp = C.score_requests(checked, boosted.model, "1").first()["prediction_timestamp"]
     assert stamp.endswith("+00:00") and "T" in stamp
+
+
+def test_shallow_boosting_keeps_no_node_numbers_and_gives_the_same_trees(parts):
+    train_rows, test_rows = parts
+    one, other = M.gbt(trees=2, depth=3), M.gbt(trees=2, depth=3, cacheNodeIds=True)
+    assert not one.getCacheNodeIds() and not M.gbt().getCacheNodeIds() and M.gbt_early_stop().getCacheNodeIds()
+    a, b = (M.assemble(e).fit(train_rows).stages[-1].toDebugString.split("\n", 1)[1] for e in (one, other))
+    assert a == b
