@@ -1,11 +1,13 @@
 """Fitted encoders: learned on one table, applied to another."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from fareloom.operators import encode as E
-from fareloom.plans.encoder import TripEncoder, flag_quantile, slot_names, slot_table
-from tests.conftest import rows
+from fareloom.plans.encoder import TripEncoder, fit_robust_at_once, flag_quantile, slot_names, slot_table
+from tests.conftest import plan, rows
 
 
 def test_standard_uses_population_deviation_and_survives_a_constant(spark):
@@ -118,3 +120,33 @@ def test_missing_flag_is_centred_and_scaled_like_any_number(spark):
     t = spark.createDataFrame([(float(i) if i % 5 < 2 else None, "a" if i % 2 else "b") for i in range(100)], "x double, s string")
     got = TripEncoder(["x"], ["s"], "robust").fit(t).transform(t)
     assert {(r.x is None, r.missing_x) for r in got.collect()} == {(True, 0.0), (False, -1.0)}
+
+
+def test_limits_medians_and_quartiles_from_one_search(spark):
+    """The three fits in a row, and no more passes than a single search takes."""
+    from fareloom.operators import encode as E
+
+    rng = random.Random(11)
+    gap = lambda share, x: None if rng.random() < share else x
+    data = [(rng.gauss(0, 9), gap(0.6, rng.random()), gap(0.3, float(rng.choice((0, 0, 1)))), gap(0.1, rng.uniform(-2, 40)), None) for _ in range(3001)]
+    t = spark.createDataFrame([*data, (float("nan"), 1.0, 0.0, 2.0, None)], "a double, b double, c double, d double, e double")
+    caps = E.fit_caps(t, t.columns)
+    capped = E.apply_caps(t, caps)
+    gaps = E.fit_gaps(capped, t.columns)
+    scale = E.fit_robust(E.apply_gaps(capped, gaps, indicator=False), t.columns)
+    found = fit_robust_at_once(t, t.columns)
+    for c in t.columns:
+        assert found[0][c] == (pytest.approx(caps[c], rel=1e-12) if c != "e" else caps[c]), c
+        assert found[1][c] == pytest.approx(gaps.median[c], rel=1e-12), c
+        assert found[2][c] == pytest.approx(scale[c], rel=1e-12), c
+
+
+def test_slots_are_added_up_without_a_row_per_cell(spark, monkeypatch):
+    from fareloom.plans import encoder
+
+    held = []
+    monkeypatch.setattr(encoder, "settle", lambda df, name: held.append(df) or df)
+    t = spark.createDataFrame([(float(i), "ab"[i % 2]) for i in range(20)], "x double, c string")
+    encoded = TripEncoder(["x"], ["c"]).fit(t).transform(t)
+    found = {r["feature"]: r["rows"] for r in slot_table(encoded).collect()}
+    assert "Generate" not in plan(held[0]) and sorted(found.values()) == [10, 10, 20]

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fareloom.operators import quantiles as Q
-from tests.conftest import rows
+from tests.conftest import plan, rows
 
 PROBS = (0.0, 0.01, 0.1, 0.25, 0.5, 0.75, 0.9, 0.99, 1.0)
 
@@ -107,3 +107,15 @@ def test_mode_takes_the_smallest_of_a_tie(spark):
 def test_table_form(spark):
     t = spark.createDataFrame([(1.0,), (2.0,), (4.0,)], "x double")
     assert rows(Q.quantiles(t, ["x"], (0.25, 0.5))) == [("x", 0.25, 1.5), ("x", 0.5, 2.0)]
+
+
+def test_infinities_end_the_search(spark):
+    data = [(float("-inf"),), (float("inf"),)] * 5 + [(x,) for x in (1.7e308, -1.7e308, 1e305, 2.5, -2.5)]
+    t = spark.createDataFrame(data, "x double")
+    found = Q.values_at(t, {"x": list(range(15))})["x"]
+    assert [found[k] for k in range(15)] == sorted(x for (x,) in data)
+
+
+def test_counting_makes_no_row_per_cell(spark):
+    counts = Q._cell_counts(spark.range(9).select(F.col("id").cast("double").alias("x"), F.lit(1.0).alias("y")), {"x": [], "y": [(1.0, 1.0)]})
+    assert "Generate" not in plan(counts) and sum(r["n"] for r in counts.collect()) == 18
