@@ -14,7 +14,7 @@ from fareloom.operators import quality as Q
 from fareloom.operators import sampling as R
 from fareloom.operators import stats as A
 from fareloom.operators.encode import freq_encode, mode_fill
-from fareloom.session import scratch_path, settle
+from fareloom.session import scratch_path, settle, split_methods
 from fareloom.sources import requests as J
 from fareloom.sources import trips as IO
 from fareloom.sources.tables import trips
@@ -42,7 +42,9 @@ def analysis_table(spark, d):
     at = (spark.sparkContext.applicationId, d)
     if at not in _analysis:
         t = X.features_analysis(mode_fill(trips(spark, d)))
-        _analysis[at] = settle(freq_encode(t), "analysis")
+        used = dict.fromkeys([*S.ANALYSIS_COLUMNS, *(c for cols in S.FEATURE_GROUPS.values() for c in cols if c in t.columns)])
+        with split_methods(spark):
+            _analysis[at] = settle(freq_encode(t).select(*used), "analysis")
     return _analysis[at]
 
 

@@ -148,3 +148,32 @@ def test_near_constant_and_modes_keep_large_integers_and_texts(spark):
     assert got == {"n": (2, 150 / 151), "s": (2, 150 / 151), "b": (1, 1.0), "e": (0, None)}
     three = spark.createDataFrame([(big,)] * 2 + [(big + 1,)] * 2 + [(5,)] * 3, "n long")
     assert P.shape_stats(three, ["n"]).first()["mode"] == 5.0
+
+
+def test_columns_of_three_values_are_not_aggregated(spark):
+    t = spark.createDataFrame([(float(i), 1.0, float("nan")) for i in range(9)], "many double, one double, nan double")
+    found = {r["feature"]: r["distinct"] for r in P.near_constant(t, t.columns).collect()}
+    assert found == {"one": 1, "nan": 1}
+    assert P.near_constant(t, ["many"]).collect() == []
+
+
+def test_stored_analysis_holds_only_what_the_reports_read(spark):
+    from fareloom.catalog import reports
+
+    held = set(reports.analysis_table(spark, "/root/testdata/sf0.001").columns)
+    assert "trip_id" not in held and set(S.ANALYSIS_COLUMNS) <= held
+
+
+def test_the_method_limit_is_given_back(spark):
+    from fareloom.session import METHOD_CONF, split_methods
+
+    given = spark.conf.get(METHOD_CONF)
+    try:
+        for limit, inside in (("65535", "8000"), ("5000", "5000")):
+            spark.conf.set(METHOD_CONF, limit)
+            with pytest.raises(KeyError), split_methods(spark):
+                assert spark.conf.get(METHOD_CONF) == inside
+                raise KeyError
+            assert spark.conf.get(METHOD_CONF) == limit
+    finally:
+        spark.conf.set(METHOD_CONF, given)
