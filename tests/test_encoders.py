@@ -150,3 +150,21 @@ def test_slots_are_added_up_without_a_row_per_cell(spark, monkeypatch):
     encoded = TripEncoder(["x"], ["c"]).fit(t).transform(t)
     found = {r["feature"]: r["rows"] for r in slot_table(encoded).collect()}
     assert "Generate" not in plan(held[0]) and sorted(found.values()) == [10, 10, 20]
+
+
+def test_rows_of_a_frequent_category_are_not_gathered(spark):
+    """Beside a column of many categories one of a few is still joined where its rows are."""
+    n = E.MAX_CATEGORIES + 2000
+    t = spark.range(n).select(F.col("id"), F.concat(F.lit("key-of-some-length-"), F.col("id")).alias("key"), (F.col("id") % 3).alias("kind"))
+    table = E.fit_category_table(t, ["key", "kind"])
+    with_few, with_many = (E.onehot_rows(t, table, cols, ("id",)) for cols in (["kind"], ["key"]))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20000")
+    try:
+        assert "SortMergeJoin" not in plan(with_few) and "SortMergeJoin" in plan(with_many)
+        both = E.onehot_rows(t, table, ["kind", "key"], ("id",))
+        assert both.columns == ["id", "column", "category", "slot", "value"]
+        found = {r["column"]: (r["n"], r["slots"]) for r in both.groupBy("column").agg(F.count("*").alias("n"), F.count_distinct("slot").alias("slots")).collect()}
+        assert found == {"kind": (n, 3), "key": (n, n)}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
