@@ -90,3 +90,13 @@ def test_rows_without_a_key_spread_and_missing_groups_stay(spark):
     got = placed.groupBy("g").agg(F.count("*").alias("n"), F.max("position").alias("hi"), F.count_distinct("position").alias("d"))
     assert sorted((r["n"], r["hi"], r["d"]) for r in got.collect()) == [(200, 200, 200)] * 5
     assert R.sample_n(t, 37, "k").count() == 37
+
+
+def test_positions_carry_the_hash_as_bytes_in_the_order_of_its_digits(spark):
+    from fareloom.functions.exprs import hash_key
+
+    t = spark.range(5000).select(F.col("id").cast("string").alias("key"))
+    placed = R.row_positions(t, "key", 47)
+    assert "unhex(" in placed._jdf.queryExecution().analyzed().toString()
+    found = [r["key"] for r in placed.orderBy("position").collect()]
+    assert found == [r["key"] for r in t.orderBy(hash_key("key", 47)).collect()]
