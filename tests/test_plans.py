@@ -86,3 +86,13 @@ def test_intermediate_tables_take_less_room_than_by_default(spark, sample, tmp_p
 
     sample.coalesce(1).write.parquet(str(tmp_path / "plain"))
     assert size(settle(sample.coalesce(1), "room").inputFiles()) < 0.9 * size(spark.read.parquet(str(tmp_path / "plain")).inputFiles())
+
+
+def test_training_rows_are_dealt_evenly_over_the_cores(spark):
+    from fareloom.session import dealt
+
+    cores = spark.sparkContext.defaultParallelism
+    uneven = spark.range(0, 9000, 1, cores - 1)
+    sizes = [r[1] for r in dealt(uneven).groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == cores and sum(sizes) == 9000 and max(sizes) - min(sizes) <= 2 * cores
+    assert dealt(spark.range(0, 9000, 1, cores + 1)).rdd.getNumPartitions() == 2 * cores
