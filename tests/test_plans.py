@@ -1,11 +1,13 @@
 """What the plans must look like for tables that do not fit one machine."""
 
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from fareloom import schema as S
+from fareloom.catalog import QUERIES
 from fareloom.functions import features as X
 from fareloom.functions.rules import validate_requests
 from fareloom.operators import profile as P
@@ -15,7 +17,7 @@ from fareloom.operators import stats as A
 from fareloom.session import settle
 from fareloom.sources import requests as J
 from fareloom.sources.trips import write_trips
-from tests.conftest import plan
+from tests.conftest import SF, plan
 
 
 @pytest.fixture(scope="module")
@@ -96,3 +98,13 @@ def test_training_rows_are_dealt_evenly_over_the_cores(spark):
     sizes = [r[1] for r in dealt(uneven).groupBy(F.spark_partition_id()).count().collect()]
     assert len(sizes) == cores and sum(sizes) == 9000 and max(sizes) - min(sizes) <= 2 * cores
     assert dealt(spark.range(0, 9000, 1, cores + 1)).rdd.getNumPartitions() == 2 * cores
+
+
+def test_json_requests_are_read_in_two_casts(spark, capsys):
+    sent = spark.createDataFrame([("{}",)], "body string")
+    text = plan(validate_requests(J.parse_requests(sent)))
+    assert "SchemaOfVariant" not in text and "$." not in text
+    QUERIES["validate_json_requests"](spark, SF).explain("codegen")
+    sizes = re.findall(r"Subtree \d / (\d) \(maxMethodCodeSize:(\d+)", capsys.readouterr().out)
+    # One compiled stage, in methods that the JVM compiles too: it leaves those over 8,000 bytes alone.
+    assert [n for n, _ in sizes] == ["1"] and int(sizes[0][1]) < 8000

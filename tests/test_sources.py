@@ -142,6 +142,31 @@ def test_a_null_field_is_no_field_left_out(spark, tmp_path):
     assert [r.v for r in with_violations(t, rules, "v").collect()] == [["trip_distance"], ["fare_amount"]]
 
 
+def test_request_fields_of_other_types_and_names(spark):
+    bodies = {
+        '{"VendorID": 2, "tip_amount": 1.5}': (2, 1.5, None),
+        '{"VendorID": 2.7, "tip_amount": "1.5"}': (2, 1.5, None),
+        '{"VendorID": "2", "tip_amount": true}': (2, 1.0, None),
+        '{"VendorID": 3000000000, "tip_amount": {"VendorID": 2}}': (None, None, None),
+        '{"vendorid": 2, "a": {"tip_amount": 3}}': (1, 0.0, None),
+        '{"VendorID": 1, "VendorID": 2}': (None, None, '{"VendorID": 1, "VendorID": 2}'),
+        "{}": (1, 0.0, None),
+        "[{}]": (None, None, "[{}]"),
+    }
+    parsed = J.parse_requests(spark.createDataFrame([(b,) for b in bodies], "body string"))
+    got = {r.body: (r.VendorID, r.tip_amount, r[J.CORRUPT]) for r in parsed.collect()}
+    assert got == bodies
+
+
+def test_violations_are_listed_in_rule_order(spark):
+    t = spark.createDataFrame([(None, 1.0), (1.0, None), (-float("inf"), float("nan")), (1.0, -0.0)], "trip_distance double, tip_amount double")
+    rules = {k: v for k, v in request_rules().items() if k in t.columns}
+    checked = with_violations(t, rules, "v")
+    assert [r.v for r in checked.collect()] == [["trip_distance"], ["tip_amount"], ["trip_distance", "tip_amount"], []]
+    assert not checked.schema["v"].dataType.containsNull
+    assert with_violations(t, {}, "v").first()["v"] == []
+
+
 def test_sums_over_64_bits_are_whole(spark, tmp_path):
     from fareloom.catalog import QUERIES
 
