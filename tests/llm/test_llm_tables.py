@@ -118,6 +118,22 @@ def test_search_goes_on_until_nothing_is_left_to_open(spark):
     assert {r.id for r in found} == {11, 12, 13}  # the way there opens one node more in every step
 
 
+def test_what_a_group_of_queries_sends_stays_bounded_and_whole(spark, monkeypatch):
+    sizes = [neighbours._group_size(blocks, 64) for blocks in (1, 100, 1000, 100_000)]
+    assert sizes[0] == neighbours.QUERIES and sizes == sorted(sizes, reverse=True)
+    assert all(n * min(b, 1664) * 64 * 8 <= neighbours.SENT for n, b in zip(sizes, (1, 100, 1000, 100_000)))
+    v = vectors(600, 8)
+    nodes = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "id long, vec array<float>").cache()
+    edges = neighbours.graph(nodes, 12).cache()
+    queries = nodes.where("id % 20 = 0").select(F.col("id").alias("query"))
+    one = sorted(map(tuple, neighbours.search(nodes, edges, queries, 5, pool=20).collect()))
+    seen, original = [], neighbours._group_size
+    monkeypatch.setattr(neighbours, "BLOCK", 7)
+    monkeypatch.setattr(neighbours, "SENT", 2 * 8 * 8 * 86)  # two queries' vectors to each of the 86 blocks
+    monkeypatch.setattr(neighbours, "_group_size", lambda *a: seen.append(original(*a)) or seen[-1])
+    assert sorted(map(tuple, neighbours.search(nodes, edges, queries, 5, pool=20).collect())) == one and seen == [2]
+
+
 def test_rounds_end_when_nothing_is_replaced(spark, monkeypatch):
     v, rounds = vectors(30, 8), []
     monkeypatch.setattr(neighbours, "release", lambda spark: rounds.append(1))
