@@ -94,3 +94,24 @@ def test_rows_are_drawn_as_often_as_they_are_there():
     drawn = W.times(row, 3, 42)
     assert abs(drawn.mean() - 1) < 0.01 and abs((drawn == 0).mean() - np.exp(-1)) < 0.005
     assert abs(np.corrcoef(drawn, W.times(row, 4, 42))[0, 1]) < 0.01
+
+
+def test_sums_of_many_nodes_are_few_rows(spark):
+    from fareloom.plans import packed as P
+
+    rng = np.random.default_rng(9)
+    cells, y = rng.integers(0, 8, (900, 4)).astype(np.uint8), rng.standard_normal(900)
+    shape = "row long, label double, bins binary"
+    stored = spark.createDataFrame([(i * 7_919, float(v), bytearray(c.tobytes())) for i, (c, v) in enumerate(zip(cells, y))], shape).repartition(3)
+    tops, layout = [np.zeros(1, W.NODE) for _ in range(90)], P.Layout([8] * 4)
+    for top in tops:
+        top["feature"] = -1
+    sums = W._sums(stored, tops, [(t, 0) for t in range(90)], layout, 0.5, 42)
+    assert sums.count() == 3 * 2  # a row per task and 64 nodes
+    found = {r.node: r for r in W.best_splits(sums, layout, 1.0).collect()}
+    assert sorted(found) == list(range(90))
+    for t in (0, 77):
+        weight = W.times(np.arange(900) * 7_919, t, 42)
+        tree = W.grow(np.ascontiguousarray(cells[weight > 0].T), y[weight > 0], weight[weight > 0], 1)
+        assert (found[t].feature, found[t].bin) == (tree["feature"][0], tree["bin"][0])
+        assert found[t].gain == pytest.approx(tree["won"][0]) and found[t].h == weight.sum()
