@@ -154,3 +154,14 @@ def test_columns_of_few_bins_and_sliced_bytes():
     cells = np.arange(12, dtype=np.uint8).reshape(4, 3)
     column = pa.array([c.tobytes() for c in cells], pa.binary())
     assert (B._bytes(column[1:3]) == cells[1:3]).all() and len(B._bytes(column[:0])) == 0
+
+
+def test_trees_go_to_tasks_as_arrays():
+    import pickle
+
+    rng = np.random.default_rng(4)
+    bins = rng.integers(0, 9, (500, 3)).astype(np.uint8)
+    tree = B.grow(bins, rng.standard_normal(500), [0, 1, 2], 6, B.Settings())
+    sent = pickle.loads(pickle.dumps(tree))
+    assert all(isinstance(x, np.ndarray) for x in (sent.feature, sent.bin, sent.left, sent.right, sent.value))
+    assert (sent.predict(bins) == tree.predict(bins)).all()
